@@ -39,10 +39,25 @@ def with_day_activity(df: DataFrame, date_col: str, dim: DataFrame) -> DataFrame
 
 
 def calendar_activity(orders: DataFrame, dim: DataFrame) -> DataFrame:
-    """Orders counted and summed per weekday with that day's activity."""
-    j = with_day_activity(orders.select("o_orderdate", "o_totalprice"), "o_orderdate", dim)
-    return j.groupBy("day", "is_weekday", "activity", "activity_id", "message").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total_price")
+    """Orders counted and summed per weekday with that day's activity.
+
+    The orders are first reduced to one row per weekday (partial aggregation before the
+    shuffle), so the day table is joined to seven rows, not to every order.
+    """
+    per_day = (
+        orders.select(day_name(F.col("o_orderdate")).alias("day"), "o_totalprice")
+        .groupBy("day")
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total_price"))
+    )
+    j = per_day.join(F.broadcast(dim), "day", "left")
+    return j.select(
+        "day",
+        "is_weekday",
+        "activity",
+        activity_id(F.col("activity"), F.col("is_weekday")).alias("activity_id"),
+        activity_message(F.col("day"), F.col("activity")).alias("message"),
+        "n_orders",
+        "total_price",
     )
 
 

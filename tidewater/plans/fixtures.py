@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scd import RunContext
 from ..operators.watermark import LoadPlan, high_water_mark
-from ..session import materialize
 from ..sources.extract import SOURCE_COLUMNS, extract
 
 ADDRESS_ID_OFFSET = 1_000_000
@@ -173,15 +172,30 @@ class Scenario:
             return oltp_address(self.base, d)
         return oltp_payment(self.base, d)
 
+    def marks(self, d: int) -> dict:
+        """High-water marks of all three tables after day d's stage, in one job.
+
+        A table whose delta was empty keeps its previous mark.
+        """
+        if d not in self._marks:
+            hwm = None
+            for t in self.TABLES:
+                m = high_water_mark(self.stage(t, d), t)
+                hwm = m if hwm is None else hwm.unionByName(m)
+            got = {r["table_name"]: r["max_updated"] for r in hwm.collect()}  # three scalars
+            prev = self.marks(d - 1) if d > 1 else {}
+            self._marks[d] = {t: got.get(t) if got.get(t) is not None else prev.get(t) for t in self.TABLES}
+        return self._marks[d]
+
     def mark(self, table: str, d: int):
-        """High-water mark after day d's stage; the previous mark survives an empty delta."""
-        key = (table, d)
-        if key not in self._marks:
-            m = high_water_mark(self.stage(table, d), table).first()["max_updated"]
-            self._marks[key] = m if m is not None or d == 1 else self.mark(table, d - 1)
-        return self._marks[key]
+        return self.marks(d)[table]
 
     def stage(self, table: str, d: int) -> DataFrame:
+        """Day d's stage of one table: a full extract on day 1, else a delta above the last mark.
+
+        Stages stay lazy views over the (derived) source: each is a scan with a literal
+        predicate that pushes into the Parquet reader.
+        """
         key = (table, d)
         if key not in self._stages:
             src = self.oltp(table, d)
@@ -190,8 +204,7 @@ class Scenario:
             else:
                 cols = SOURCE_COLUMNS[table] + (["deleted_at"] if table == "customer" and self.deletes else [])
                 st = extract(src, LoadPlan("delta"), self.mark(table, d - 1), cols)
-            # The stage is a table (truncate + load): write it once, read it many times.
-            self._stages[key] = materialize(st)
+            self._stages[key] = st
         return self._stages[key]
 
     def stages(self, d: int) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -36,41 +36,54 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Dimension:
-    """Day-by-day states of the customer dimension for one mode."""
+    """Day-by-day states of the customer dimension for one mode.
+
+    ``target(d)`` is lazy.  A state that feeds a later day is written once under the
+    checkpoint directory from day 2 on (the merge reads it several times), as is the
+    literal-mode candidate table, which its three statements read four times.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, mode: str, deletes: bool = False):
         self.mode = mode
         self.sc = Scenario(spark, sf_dir, deletes=deletes)
         self._targets: dict[int, DataFrame] = {}
+        self._inputs: dict[int, DataFrame] = {}
         self._temps: dict[int, DataFrame] = {}
 
     def temp(self, d: int) -> DataFrame:
-        """The candidate ("temp") table of day d, written once: the merge reads it several times."""
+        """The candidate ("temp") table of day d."""
         if d not in self._temps:
             c, a, p = self.sc.stages(d)
             run = run_of_day(d)
             if d == 1:
                 out = transform.full_transform(c, a, p, run)
             elif self.mode == "literal":
-                out = transform.delta_transform_literal(c, a, p, self.target(d - 1), run)
+                out = materialize(transform.delta_transform_literal(c, a, p, self.input(d - 1), run))
             else:
-                out = transform.delta_transform_corrected(c, a, p, self.target(d - 1), run)
-            self._temps[d] = materialize(out)
+                out = transform.delta_transform_corrected(c, a, p, self.input(d - 1), run)
+            self._temps[d] = out
         return self._temps[d]
 
     def target(self, d: int) -> DataFrame:
+        """The dimension after day d's load (lazy)."""
         if d not in self._targets:
             run = run_of_day(d)
             if d == 1:
                 out = scd2.full_refresh(self.temp(1))
             elif self.mode == "literal":
-                out = scd2.merge_literal(self.target(d - 1), self.temp(d), run)
+                out = scd2.merge_literal(self.input(d - 1), self.temp(d), run)
             else:
                 c, a, p = self.sc.stages(d)
-                out = scd2.merge_corrected(self.target(d - 1), c, a, p, run)
-            self._targets[d] = materialize(out)
+                out = scd2.merge_corrected(self.input(d - 1), c, a, p, run)
+            self._targets[d] = out
         return self._targets[d]
 
+    def input(self, d: int) -> DataFrame:
+        """Day d's dimension as the input of day d + 1: written once from day 2 on."""
+        if d not in self._inputs:
+            self._inputs[d] = self.target(d) if d == 1 else materialize(self.target(d))
+        return self._inputs[d]
+
 
 # --- extraction and watermarks -----------------------------------------------------------
 
@@ -173,7 +186,7 @@ def children_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _literal_day2(spark: SparkSession, sf_dir: str):
     dim = Dimension(spark, sf_dir, "literal")
-    return dim.target(1), dim.temp(2), run_of_day(2)
+    return dim.input(1), dim.temp(2), run_of_day(2)
 
 
 def scd2_close(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +215,7 @@ def scd2_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full reload on day 3: backup of the day-2 dimension plus the rebuilt dimension."""
     dim = Dimension(spark, sf_dir, "corrected")
-    backup = dim.target(2)
+    backup = dim.input(2)
     sc = dim.sc
     c, a, p = (extract(sc.oltp(t, 3), LoadPlan("full")) for t in Scenario.TABLES)
     refreshed = scd2.full_refresh(transform.full_transform(c, a, p, run_of_day(3)))
@@ -220,7 +233,7 @@ def _delete_day3(spark: SparkSession, sf_dir: str, mode: str, soft: bool):
     c, a, p = dsc.stages(3)
     if not soft:
         c = c.select(*SOURCE_COLUMNS["customer"])
-    return dim.target(2), c, a, p, dsc.deleted_entries(), run_of_day(3)
+    return dim.input(2), c, a, p, dsc.deleted_entries(), run_of_day(3)
 
 
 def soft_delete_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
