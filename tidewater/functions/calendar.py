@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 WEEKDAY_GROUP = "weekday_activities"
 WEEKEND_GROUP = "weekend_activities"
 
+# Lower-case English day names in Spark's dayofweek order (Sunday = 1).
+DAY_NAMES = ["sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"]
+
 
 def day_name(d: Column) -> Column:
-    """Lower-case English weekday name ('monday' … 'sunday')."""
-    return F.lower(F.date_format(d, "EEEE"))
+    """Lower-case English weekday name ('monday' … 'sunday'); no per-row date formatting."""
+    return F.element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), F.dayofweek(d))
 
 
 def is_weekend(d: Column) -> Column:

@@ -63,25 +63,48 @@ def new_keys(target: DataFrame, temp: DataFrame, run: RunContext) -> DataFrame:
     return j.select(*[F.col(c) for c in DIMENSION_COLUMNS if c != "etl_timestamp"], run.ts().alias("etl_timestamp"))
 
 
-def merge_literal(target: DataFrame, temp: DataFrame, run: RunContext, extra_close=None) -> DataFrame:
-    """The three statements in order; ``extra_close(t)`` runs right after closing (delete recipes).
+def split(target: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(current rows, closed history) of a dimension."""
+    is_cur = F.col("etl_current_ind").eqNullSafe(CURRENT)
+    return target.where(is_cur), target.where(~is_cur)
+
+
+def merge_literal_parts(
+    current: DataFrame, history: DataFrame, temp: DataFrame, run: RunContext, extra_close=None
+) -> tuple[DataFrame, DataFrame]:
+    """The three statements on a split dimension: returns (new current rows, rows closed now).
 
-    Equivalent plan with three reads of the target instead of a chain of self-references:
+    History rows are never touched by the statements, so they are only read:
 
-    * T1 = close(target): one pass over the target joined with per-id temp statistics.
-    * new versions read T1 only for ids present in temp; closing is row-local given those
-      statistics, so closing the semi-joined slice of the target gives exactly that slice of T1.
-    * new keys need the ids of T2; closing keeps ids and new versions reuse existing ids, so
-      ids(T2) = ids(target): a key-only anti-join.
+    * statement 1 closes current rows (one pass over them, joined with per-id temp statistics);
+      ``extra_close(t)`` (delete recipes) runs right after it;
+    * statement 2 needs the latest closed row of each temp id: history and the rows closed
+      now, both restricted to temp ids first (closing is row-local given the statistics);
+    * statement 3 needs the ids present after statement 2, which are the ids already stored
+      (closing keeps ids, new versions reuse existing ids): a key-only anti-join.
     """
 
     def close(t: DataFrame) -> DataFrame:
         t1 = close_changed(t, temp, run)
         return extra_close(t1) if extra_close is not None else t1
 
-    t1 = close(target)
-    t1_slice = close(target.join(temp.select("id"), "id", "left_semi"))
-    return t1.unionByName(new_versions(t1_slice, temp, run)).unionByName(new_keys(target, temp, run))
+    t1 = close(current)
+    closed_now = t1.where(F.col("etl_current_ind") == CLOSED)
+    still_current = t1.where(F.col("etl_current_ind") == CURRENT)
+    ids = temp.select("id")
+    closed_slice = history.join(ids, "id", "left_semi").unionByName(close(current.join(ids, "id", "left_semi")))
+    stored_ids = current.select("id").unionByName(history.select("id"))
+    new_current = still_current.unionByName(new_versions(closed_slice, temp, run)).unionByName(
+        new_keys(stored_ids, temp, run)
+    )
+    return new_current, closed_now
+
+
+def merge_literal(target: DataFrame, temp: DataFrame, run: RunContext, extra_close=None) -> DataFrame:
+    """The three statements in order over a whole dimension (see ``merge_literal_parts``)."""
+    current, history = split(target)
+    new_current, closed_now = merge_literal_parts(current, history, temp, run, extra_close)
+    return history.unionByName(closed_now).unionByName(new_current)
 
 
 def soft_delete_close(customer_stage: DataFrame, run: RunContext):
@@ -105,29 +128,44 @@ def hard_delete_close(ids: DataFrame, run: RunContext):
     return lambda t: close_ids(t, ids, run)
 
 
-def merge_corrected(
-    target: DataFrame,
+def merge_corrected_parts(
+    current: DataFrame,
+    history: DataFrame,
     customer: DataFrame,
     address: DataFrame,
     payment: DataFrame,
     run: RunContext,
     deleted_ids: DataFrame | None = None,
-) -> DataFrame:
-    """Corrected type-2 merge in one pass.
+) -> tuple[DataFrame, DataFrame]:
+    """Corrected type-2 merge on a split dimension: returns (new current rows, rows closed now).
 
-    Closed rows ('N') pass through.  Current rows are closed when their id changed or was
-    deleted; every changed candidate (new, re-opened or changed id, not deleted) becomes a new
-    current row.  Only delta-sized sets are shuffled apart from one join of the current rows
-    with the (small, de-duplicated) set of ids to close.
+    Each affected id is classified once.  Current rows of ids that changed or were deleted
+    are closed; every changed candidate (new, re-opened or changed, not deleted) becomes a new
+    current row.  History is only read (semi-joined to the staged ids) for re-opened ids.
     """
-    cand = corrected_candidates(customer, address, payment, target, run, deleted_ids)
+    cand = corrected_candidates(customer, address, payment, current, history, run, deleted_ids)
     inserts = cand.where(F.col("changed") & ~F.col("deleted")).select(*DIMENSION_COLUMNS)
     to_close = cand.where(F.col("has_current") & (F.col("changed") | F.col("deleted"))).select("id")
     if deleted_ids is not None:
         to_close = to_close.unionByName(deleted_ids.select("id"))
-    current = target.where(F.col("etl_current_ind") == CURRENT)
-    history = target.where(~F.col("etl_current_ind").eqNullSafe(CURRENT))
-    return history.unionByName(close_ids(current, to_close, run)).unionByName(inserts)
+    t1 = close_ids(current, to_close, run)
+    closed_now = t1.where(F.col("etl_current_ind") == CLOSED)
+    new_current = t1.where(F.col("etl_current_ind") == CURRENT).unionByName(inserts)
+    return new_current, closed_now
+
+
+def merge_corrected(
+    target: DataFrame,
+    customer: DataFrame,
+    address: DataFrame,
+    payment: DataFrame,
+    run: RunContext,
+    deleted_ids: DataFrame | None = None,
+) -> DataFrame:
+    """Corrected type-2 merge over a whole dimension (see ``merge_corrected_parts``)."""
+    current, history = split(target)
+    new_current, closed_now = merge_corrected_parts(current, history, customer, address, payment, run, deleted_ids)
+    return history.unionByName(closed_now).unionByName(new_current)
 
 
 def full_refresh(temp: DataFrame) -> DataFrame:

@@ -150,21 +150,25 @@ def reduce_staged(customer: DataFrame, address: DataFrame, payment: DataFrame) -
     )
 
 
-def latest_versions(target: DataFrame, ids: DataFrame) -> DataFrame:
-    """Latest stored version of each id in ``ids`` (the current row if there is one).
+def latest_versions(current: DataFrame, history: DataFrame, ids: DataFrame) -> DataFrame:
+    """Latest stored version of each id in ``ids``: its current row, else its latest closed row.
 
+    Current rows and history are each semi-joined to ``ids`` and reduced to one row per id
+    (partial aggregation), then combined by one id-keyed outer join.
     Columns: id, has_current, prev_name, prev_address, prev_payment_method.
     """
-    t = target.join(ids, "id", "left_semi")
-    is_cur = F.col("etl_current_ind") == CURRENT
-    order = F.struct(is_cur, F.col("etl_timestamp"), F.col("etl_start_date"), F.col("etl_key"))
-    latest = F.max_by(F.struct("name", "address", "payment_method"), order)
-    return t.groupBy("id").agg(F.max(is_cur).alias("has_current"), latest.alias("prev")).select(
+    attrs = F.struct("name", "address", "payment_method")
+    order = F.struct(F.col("etl_timestamp"), F.col("etl_start_date"), F.col("etl_key"))
+    cur = current.join(ids, "id", "left_semi").groupBy("id").agg(F.max_by(attrs, order).alias("_cur"))
+    old = history.join(ids, "id", "left_semi").groupBy("id").agg(F.max_by(attrs, order).alias("_old"))
+    j = cur.join(old, "id", "full")
+    prev = F.coalesce(F.col("_cur"), F.col("_old"))
+    return j.select(
         "id",
-        "has_current",
-        F.col("prev.name").alias("prev_name"),
-        F.col("prev.address").alias("prev_address"),
-        F.col("prev.payment_method").alias("prev_payment_method"),
+        F.col("_cur").isNotNull().alias("has_current"),
+        prev.getField("name").alias("prev_name"),
+        prev.getField("address").alias("prev_address"),
+        prev.getField("payment_method").alias("prev_payment_method"),
     )
 
 
@@ -172,7 +176,8 @@ def corrected_candidates(
     customer: DataFrame,
     address: DataFrame,
     payment: DataFrame,
-    target: DataFrame,
+    current: DataFrame,
+    history: DataFrame,
     run: RunContext,
     deleted_ids: DataFrame | None = None,
 ) -> DataFrame:
@@ -185,7 +190,7 @@ def corrected_candidates(
     row, IS DISTINCT FROM) and ``deleted``.
     """
     staged = reduce_staged(customer, address, payment)
-    prev = latest_versions(target, staged.select("id"))
+    prev = latest_versions(current, history, staged.select("id"))
     j = staged.join(prev, "id", "left")
     has_cur = F.coalesce(F.col("has_current"), F.lit(False))
     deleted = F.col("deleted")
@@ -218,5 +223,6 @@ def delta_transform_corrected(
     deleted_ids: DataFrame | None = None,
 ) -> DataFrame:
     """The corrected "temp": one new version per id that is new, re-opened or changed."""
-    cand = corrected_candidates(customer, address, payment, target, run, deleted_ids)
+    is_cur = F.col("etl_current_ind").eqNullSafe(CURRENT)
+    cand = corrected_candidates(customer, address, payment, target.where(is_cur), target.where(~is_cur), run, deleted_ids)
     return cand.where(~F.col("deleted") & F.col("changed")).drop("has_current", "changed", "deleted")

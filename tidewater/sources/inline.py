@@ -29,8 +29,16 @@ ORDER_TOTAL_PREFIX = "Total order value is: "
 
 
 def day_activity(spark: SparkSession) -> DataFrame:
-    """The seven-row day dimension (a bounded constant: safe to broadcast)."""
-    return F.broadcast(spark.createDataFrame(DAY_ACTIVITIES, DAY_ACTIVITY))
+    """The seven-row day dimension (a bounded constant: safe to broadcast).
+
+    Built as an inline table on the JVM side (no Python worker round trip).
+    """
+    rows = [
+        F.struct(F.lit(d).alias("day"), F.lit(w).alias("is_weekday"), F.lit(a).alias("activity"))
+        for d, w, a in DAY_ACTIVITIES
+    ]
+    out = spark.range(1).select(F.inline(F.array(*rows)))
+    return F.broadcast(out.select([F.col(f.name).cast(f.dataType) for f in DAY_ACTIVITY.fields]))
 
 
 def json_documents(spark: SparkSession, docs: list[str]) -> DataFrame:
