@@ -11,6 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# NULL is an unquoted empty field and '' a quoted one (""), as a database COPY … CSV writes
+# them.  With the default nullValue "" Spark would read both as NULL; a sentinel that never
+# occurs as a field value keeps them apart.
+NULL_SENTINEL = "\u0001"
+
 
 def _reader(spark: SparkSession, schema: T.StructType, header: bool, multiline: bool):
     return (
@@ -18,6 +23,8 @@ def _reader(spark: SparkSession, schema: T.StructType, header: bool, multiline:
         .option("sep", ",")
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", NULL_SENTINEL)
+        .option("emptyValue", "")
         .option("header", str(header).lower())
         .option("multiLine", str(multiline).lower())
         .option("mode", "FAILFAST")
