@@ -13,6 +13,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Starting points for a large cluster (100 TB-class inputs); AQE then coalesces shuffle
+# partitions to the advisory size and splits skewed ones.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidewater") -> SparkSession:
     spark = (
         SparkSession.builder.master(master)
