@@ -348,6 +348,11 @@ ORACLE_SQL["soft_delete_corrected"] = _deletes("corrected", soft=True)
 ORACLE_SQL["hard_delete_literal"] = _deletes("literal", soft=False)
 ORACLE_SQL["hard_delete_corrected"] = _deletes("corrected", soft=False)
 
+# The pipeline queries run the same three days through extraction, landing, staging and the
+# store; their result is the dimension after day 3.
+ORACLE_SQL["pipeline_corrected"] = ORACLE_SQL["scd2_corrected"]
+ORACLE_SQL["pipeline_literal"] = ORACLE_SQL["scd2_literal"]
+
 ORACLE_SQL["scd2_as_of"] = _with(
     _dims("corrected", 3),
     """SELECT id, name, address, payment_method, etl_start_date, etl_end_date FROM C3

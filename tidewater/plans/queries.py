@@ -264,6 +264,34 @@ def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of(dim, AS_OF_DAY).select("id", "name", "address", "payment_method", "etl_start_date", "etl_end_date")
 
 
+# --- the pipeline end to end ---------------------------------------------------------------
+
+
+def _pipeline(spark: SparkSession, sf_dir: str, mode: str, landing: str) -> DataFrame:
+    """Three daily runs of the customer pipeline into a fresh store under the checkpoint
+    directory; returns the stored dimension.  Each run extracts above the stored marks."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.table_store import DimensionStore
+    from .pipeline import customer_pipeline
+
+    store = DimensionStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/tidewater-store/{uuid.uuid4().hex}")
+    sc = Scenario(spark, sf_dir)
+    for d in (1, 2, 3):
+        sources = {t: sc.oltp(t, d) for t in Scenario.TABLES}
+        customer_pipeline(spark, store, sources, "full" if d == 1 else "delta", run_of_day(d), mode=mode, landing_format=landing)
+    return store.dimension()
+
+
+def pipeline_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pipeline(spark, sf_dir, "corrected", "parquet")
+
+
+def pipeline_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pipeline(spark, sf_dir, "literal", "csv")
+
+
 # --- data quality and ingest --------------------------------------------------------------
 
 
@@ -340,6 +368,8 @@ QUERIES = {
     "hard_delete_literal": hard_delete_literal,
     "hard_delete_corrected": hard_delete_corrected,
     "scd2_as_of": scd2_as_of,
+    "pipeline_corrected": pipeline_corrected,
+    "pipeline_literal": pipeline_literal,
     "dq_metrics": dq_metrics,
     "dq_gate": dq_gate,
     "gated_append": gated_append,
