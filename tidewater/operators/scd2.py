@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.scd import CLOSED, CURRENT, RunContext, attribute_hash, close_when
 from ..schemas import DIMENSION_COLUMNS
 from .latest import latest_per_key
-from .transform import corrected_candidates
+from .transform import classify_corrected
 
 
 def _hash(prefix: str = ""):
@@ -69,12 +69,13 @@ def split(target: DataFrame) -> tuple[DataFrame, DataFrame]:
     return target.where(is_cur), target.where(~is_cur)
 
 
-def merge_literal_parts(
+def merge_literal_rows(
     current: DataFrame, history: DataFrame, temp: DataFrame, run: RunContext, extra_close=None
-) -> tuple[DataFrame, DataFrame]:
-    """The three statements on a split dimension: returns (new current rows, rows closed now).
+) -> DataFrame:
+    """The three statements on a split dimension.
 
-    History rows are never touched by the statements, so they are only read:
+    Returns the rows a run writes: every current row (closed where statement 1 closed it)
+    plus the rows statements 2 and 3 insert.  History is only read:
 
     * statement 1 closes current rows (one pass over them, joined with per-id temp statistics);
       ``extra_close(t)`` (delete recipes) runs right after it;
@@ -88,23 +89,20 @@ def merge_literal_parts(
         t1 = close_changed(t, temp, run)
         return extra_close(t1) if extra_close is not None else t1
 
-    t1 = close(current)
-    closed_now = t1.where(F.col("etl_current_ind") == CLOSED)
-    still_current = t1.where(F.col("etl_current_ind") == CURRENT)
     ids = temp.select("id")
     closed_slice = history.join(ids, "id", "left_semi").unionByName(close(current.join(ids, "id", "left_semi")))
     stored_ids = current.select("id").unionByName(history.select("id"))
-    new_current = still_current.unionByName(new_versions(closed_slice, temp, run)).unionByName(
-        new_keys(stored_ids, temp, run)
+    return (
+        close(current)
+        .unionByName(new_versions(closed_slice, temp, run))
+        .unionByName(new_keys(stored_ids, temp, run))
     )
-    return new_current, closed_now
 
 
 def merge_literal(target: DataFrame, temp: DataFrame, run: RunContext, extra_close=None) -> DataFrame:
-    """The three statements in order over a whole dimension (see ``merge_literal_parts``)."""
+    """The three statements in order over a whole dimension (see ``merge_literal_rows``)."""
     current, history = split(target)
-    new_current, closed_now = merge_literal_parts(current, history, temp, run, extra_close)
-    return history.unionByName(closed_now).unionByName(new_current)
+    return history.unionByName(merge_literal_rows(current, history, temp, run, extra_close))
 
 
 def soft_delete_close(customer_stage: DataFrame, run: RunContext):
@@ -128,7 +126,7 @@ def hard_delete_close(ids: DataFrame, run: RunContext):
     return lambda t: close_ids(t, ids, run)
 
 
-def merge_corrected_parts(
+def merge_corrected_rows(
     current: DataFrame,
     history: DataFrame,
     customer: DataFrame,
@@ -136,22 +134,29 @@ def merge_corrected_parts(
     payment: DataFrame,
     run: RunContext,
     deleted_ids: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Corrected type-2 merge on a split dimension: returns (new current rows, rows closed now).
+) -> DataFrame:
+    """Corrected type-2 merge: the rows a run writes, in one pass.
 
-    Each affected id is classified once.  Current rows of ids that changed or were deleted
-    are closed; every changed candidate (new, re-opened or changed, not deleted) becomes a new
-    current row.  History is only read (semi-joined to the staged ids) for re-opened ids.
+    One full outer join of the current rows with the reduced stage classifies every id
+    (``classify_corrected``); each joined row then yields its current row (closed if its id
+    changed or was deleted) and, for a new / re-opened / changed id, the new version.
+    Nothing is computed twice, and history is only read for ids in the delta.
     """
-    cand = corrected_candidates(customer, address, payment, current, history, run, deleted_ids)
-    inserts = cand.where(F.col("changed") & ~F.col("deleted")).select(*DIMENSION_COLUMNS)
-    to_close = cand.where(F.col("has_current") & (F.col("changed") | F.col("deleted"))).select("id")
-    if deleted_ids is not None:
-        to_close = to_close.unionByName(deleted_ids.select("id"))
-    t1 = close_ids(current, to_close, run)
-    closed_now = t1.where(F.col("etl_current_ind") == CLOSED)
-    new_current = t1.where(F.col("etl_current_ind") == CURRENT).unionByName(inserts)
-    return new_current, closed_now
+    cls = classify_corrected(customer, address, payment, current, history, run, deleted_ids)
+    r = F.col("_row")
+    hit = F.col("_close")
+    kept = F.when(
+        r.isNotNull(),
+        F.struct(
+            *[r.getField(c).alias(c) for c in ("etl_key", "id", "name", "address", "payment_method", "etl_start_date")],
+            F.when(hit, run.close_date()).otherwise(r.getField("etl_end_date")).alias("etl_end_date"),
+            F.when(hit, F.lit(CLOSED)).otherwise(r.getField("etl_current_ind")).alias("etl_current_ind"),
+            F.when(hit, run.ts()).otherwise(r.getField("etl_timestamp")).alias("etl_timestamp"),
+        ),
+    )
+    new = F.when(F.col("_insert"), F.col("_new"))
+    rows = F.filter(F.array(kept, new), lambda x: x.isNotNull())
+    return cls.select(F.explode(rows).alias("_r")).select("_r.*")
 
 
 def merge_corrected(
@@ -162,10 +167,9 @@ def merge_corrected(
     run: RunContext,
     deleted_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Corrected type-2 merge over a whole dimension (see ``merge_corrected_parts``)."""
+    """Corrected type-2 merge over a whole dimension (see ``merge_corrected_rows``)."""
     current, history = split(target)
-    new_current, closed_now = merge_corrected_parts(current, history, customer, address, payment, run, deleted_ids)
-    return history.unionByName(closed_now).unionByName(new_current)
+    return history.unionByName(merge_corrected_rows(current, history, customer, address, payment, run, deleted_ids))
 
 
 def full_refresh(temp: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scd import CURRENT, RunContext, new_version_columns
+from ..schemas import DIMENSION, DIMENSION_COLUMNS
 
 
 def _enrich(customer: DataFrame, address: DataFrame, payment: DataFrame) -> DataFrame:
@@ -150,29 +151,18 @@ def reduce_staged(customer: DataFrame, address: DataFrame, payment: DataFrame) -
     )
 
 
-def latest_versions(current: DataFrame, history: DataFrame, ids: DataFrame) -> DataFrame:
-    """Latest stored version of each id in ``ids``: its current row, else its latest closed row.
+def latest_closed(history: DataFrame, ids: DataFrame) -> DataFrame:
+    """Latest closed version of each id in ``ids`` (for re-opened ids): id, _old struct.
 
-    Current rows and history are each semi-joined to ``ids`` and reduced to one row per id
-    (partial aggregation), then combined by one id-keyed outer join.
-    Columns: id, has_current, prev_name, prev_address, prev_payment_method.
+    History is semi-joined to the (delta-sized) ids first and reduced with ``max_by``,
+    which aggregates partially before its shuffle.
     """
     attrs = F.struct("name", "address", "payment_method")
     order = F.struct(F.col("etl_timestamp"), F.col("etl_start_date"), F.col("etl_key"))
-    cur = current.join(ids, "id", "left_semi").groupBy("id").agg(F.max_by(attrs, order).alias("_cur"))
-    old = history.join(ids, "id", "left_semi").groupBy("id").agg(F.max_by(attrs, order).alias("_old"))
-    j = cur.join(old, "id", "full")
-    prev = F.coalesce(F.col("_cur"), F.col("_old"))
-    return j.select(
-        "id",
-        F.col("_cur").isNotNull().alias("has_current"),
-        prev.getField("name").alias("prev_name"),
-        prev.getField("address").alias("prev_address"),
-        prev.getField("payment_method").alias("prev_payment_method"),
-    )
+    return history.join(ids, "id", "left_semi").groupBy("id").agg(F.max_by(attrs, order).alias("_old"))
 
 
-def corrected_candidates(
+def classify_corrected(
     customer: DataFrame,
     address: DataFrame,
     payment: DataFrame,
@@ -181,36 +171,49 @@ def corrected_candidates(
     run: RunContext,
     deleted_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Classified candidates: one row per affected id.
+    """One joined row per id that is current or staged, with the corrected decision.
+
+    ``current`` (at most one current row per id, the invariant corrected mode maintains) is
+    full-outer-joined once with the reduced stage; only re-opened ids look into history.
+
+    * candidates: staged customer ids, and staged child ids that have a current row; ids
+      soft-deleted in the stage or listed in ``deleted_ids`` are not candidates;
+    * new attributes: ``coalesce(staged, latest stored version)``;
+    * ``_insert``: candidate that is new, re-opened, or differs from its current row
+      (IS DISTINCT FROM, column by column);
+    * ``_close``: current row of an inserted or deleted id.
 
-    Keys are the staged customer ids plus staged child ids that have a current row; ids
-    soft-deleted in the stage or listed in ``deleted_ids`` are not candidates.  Each attribute
-    is ``coalesce(staged, latest stored version)``.  Columns: the nine dimension columns of
-    the would-be new version plus ``has_current``, ``changed`` (differs from the current
-    row, IS DISTINCT FROM) and ``deleted``.
+    Columns: ``_row`` (the current row as a struct, NULL if none), ``_new`` (the would-be
+    new version as a struct), ``_insert``, ``_close``.
     """
     staged = reduce_staged(customer, address, payment)
-    prev = latest_versions(current, history, staged.select("id"))
-    j = staged.join(prev, "id", "left")
-    has_cur = F.coalesce(F.col("has_current"), F.lit(False))
-    deleted = F.col("deleted")
+    old = latest_closed(history, staged.select("id"))
+    cur = current.select("id", F.struct(*DIMENSION_COLUMNS).alias("_row"))
+    j = cur.join(staged, "id", "full").join(old, "id", "left")
+    gone = F.coalesce(F.col("deleted"), F.lit(False))
     if deleted_ids is not None:
         j = j.join(deleted_ids.select("id").distinct().withColumn("_gone", F.lit(True)), "id", "left")
-        deleted = deleted | F.coalesce(F.col("_gone"), F.lit(False))
-    j = j.where(F.col("in_customer") | (F.col("in_child") & has_cur))
-    name = F.coalesce(F.col("name"), F.col("prev_name"))
-    address_ = F.coalesce(F.col("address"), F.col("prev_address"))
-    payment_ = F.coalesce(F.col("payment_method"), F.col("prev_payment_method"))
+        gone = gone | F.coalesce(F.col("_gone"), F.lit(False))
+    has_cur = F.col("_row").isNotNull()
+    staged_key = F.coalesce(F.col("in_customer"), F.lit(False)) | (F.coalesce(F.col("in_child"), F.lit(False)) & has_cur)
+    prev = F.when(has_cur, F.struct(F.col("_row.name"), F.col("_row.address"), F.col("_row.payment_method"))).otherwise(
+        F.col("_old")
+    )
+    name = F.coalesce(F.col("name"), prev.getField("name"))
+    address_ = F.coalesce(F.col("address"), prev.getField("address"))
+    payment_ = F.coalesce(F.col("payment_method"), prev.getField("payment_method"))
     changed = ~has_cur | (
-        ~name.eqNullSafe(F.col("prev_name"))
-        | ~address_.eqNullSafe(F.col("prev_address"))
-        | ~payment_.eqNullSafe(F.col("prev_payment_method"))
+        ~name.eqNullSafe(F.col("_row.name"))
+        | ~address_.eqNullSafe(F.col("_row.address"))
+        | ~payment_.eqNullSafe(F.col("_row.payment_method"))
     )
+    insert = staged_key & ~gone & changed
+    close = has_cur & (insert | gone)
     return j.select(
-        *new_version_columns(F.col("id"), name, address_, payment_, run),
-        has_cur.alias("has_current"),
-        changed.alias("changed"),
-        deleted.alias("deleted"),
+        "_row",
+        F.struct(*new_version_columns(F.col("id"), name, address_, payment_, run)).alias("_new"),
+        insert.alias("_insert"),
+        close.alias("_close"),
     )
 
 
@@ -224,5 +227,14 @@ def delta_transform_corrected(
 ) -> DataFrame:
     """The corrected "temp": one new version per id that is new, re-opened or changed."""
     is_cur = F.col("etl_current_ind").eqNullSafe(CURRENT)
-    cand = corrected_candidates(customer, address, payment, target.where(is_cur), target.where(~is_cur), run, deleted_ids)
-    return cand.where(~F.col("deleted") & F.col("changed")).drop("has_current", "changed", "deleted")
+    cls = classify_corrected(customer, address, payment, target.where(is_cur), target.where(~is_cur), run, deleted_ids)
+    return cls.where("_insert").select("_new.*")
+
+
+def full_transform_corrected(
+    customer: DataFrame, address: DataFrame, payment: DataFrame, run: RunContext
+) -> DataFrame:
+    """Corrected full load: one version per staged customer, children reduced to their latest row."""
+    spark = customer.sparkSession
+    empty = spark.createDataFrame([], DIMENSION)
+    return classify_corrected(customer, address, payment, empty, empty, run).where("_insert").select("_new.*")

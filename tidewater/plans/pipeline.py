@@ -99,7 +99,10 @@ def customer_pipeline(
     c, a, p = (staged[t] for t in TABLES)
     run_id = store.next_run()
     if plan.is_full:
-        temp = transform.full_transform(c, a, p, run, skip_deleted=deletes == "soft")
+        if mode == "literal":
+            temp = transform.full_transform(c, a, p, run, skip_deleted=deletes == "soft")
+        else:
+            temp = transform.full_transform_corrected(c, a, p, run)
         commit = store.commit_full(run_id, temp, merged_marks)
     else:
         current, history = store.current(), store.history()
@@ -111,9 +114,9 @@ def customer_pipeline(
                 extra = scd2.soft_delete_close(c, run)
             elif deletes == "hard":
                 extra = scd2.hard_delete_close(scd2.hard_delete_ids_literal(staged["deleted_entries"], c), run)
-            new_current, closed_now = scd2.merge_literal_parts(current, history, temp, run, extra)
+            rows = scd2.merge_literal_rows(current, history, temp, run, extra)
         else:
             deleted = scd2.hard_delete_ids(staged["deleted_entries"]) if deletes == "hard" else None
-            new_current, closed_now = scd2.merge_corrected_parts(current, history, c, a, p, run, deleted)
-        commit = store.commit_delta(run_id, new_current, closed_now, merged_marks)
+            rows = scd2.merge_corrected_rows(current, history, c, a, p, run, deleted)
+        commit = store.commit_delta(run_id, rows, merged_marks)
     return RunResult(commit, plan.load_type)

@@ -56,7 +56,8 @@ class Dimension:
             c, a, p = self.sc.stages(d)
             run = run_of_day(d)
             if d == 1:
-                out = transform.full_transform(c, a, p, run)
+                full = transform.full_transform if self.mode == "literal" else transform.full_transform_corrected
+                out = full(c, a, p, run)
             elif self.mode == "literal":
                 out = materialize(transform.delta_transform_literal(c, a, p, self.input(d - 1), run))
             else:
@@ -159,7 +160,7 @@ def hwm_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Dimension(spark, sf_dir, "corrected").temp(1)
+    return Dimension(spark, sf_dir, "literal").temp(1)
 
 
 def delta_transform_literal(spark: SparkSession, sf_dir: str) -> DataFrame:

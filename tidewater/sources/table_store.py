@@ -2,10 +2,14 @@
 
 Plain Parquet directories (no table format with row-level operations is assumed)::
 
-    <root>/current/run=<r>/   the current ('Y') rows after run r: a full snapshot
-    <root>/history/run=<r>/   rows closed by run r: append-only, never rewritten
-    <root>/backup/run=<r>/    the whole dimension as it was before a full reload in run r
-    <root>/control/run=<r>/   one row per source table: its high-water mark after run r
+    <root>/runs/run=<r>/etl_current_ind=Y/   the current rows after run r (a full snapshot)
+    <root>/runs/run=<r>/etl_current_ind=N/   rows closed by run r (never rewritten later)
+    <root>/backup/run=<r>/                   the whole dimension before a full reload in run r
+    <root>/control/run=<r>/                  one row per source table: its mark after run r
+
+A run writes its rows in one job, partitioned by ``etl_current_ind``; readers prune on the
+two partition columns (current = one run's ``Y`` directory, history = the ``N`` directories
+of the runs since the last full reload).
 
 A run writes its data directories first and its ``control`` partition last; the control
 partition is the commit.  Readers use the highest committed run, so a run that fails
@@ -68,19 +72,24 @@ class DimensionStore:
             return self.spark.createDataFrame([], WATERMARK)
         return self.spark.read.parquet(self._path("control", c.run)).select("table_name", "max_updated")
 
+    def _runs(self) -> DataFrame | None:
+        return _read_or_none(self.spark, self._path("runs"))
+
     def current(self) -> DataFrame:
         c = self.last_commit()
-        if c is None:
+        runs = None if c is None else self._runs()
+        if runs is None:
             return self.spark.createDataFrame([], DIMENSION)
-        return self.spark.read.parquet(self._path("current", c.run)).select(*DIMENSION_COLUMNS)
+        return runs.where((F.col("run") == c.run) & (F.col("etl_current_ind") == "Y")).select(*DIMENSION_COLUMNS)
 
     def history(self) -> DataFrame:
         """Closed rows of runs in [history_from, last run] (partition-pruned read)."""
         c = self.last_commit()
-        h = None if c is None else _read_or_none(self.spark, self._path("history"))
-        if h is None:
+        runs = None if c is None else self._runs()
+        if runs is None:
             return self.spark.createDataFrame([], DIMENSION)
-        return h.where(F.col("run").between(c.history_from, c.run)).select(*DIMENSION_COLUMNS)
+        keep = F.col("run").between(c.history_from, c.run) & (F.col("etl_current_ind") != "Y")
+        return runs.where(keep).select(*DIMENSION_COLUMNS)
 
     def dimension(self) -> DataFrame:
         return self.history().unionByName(self.current())
@@ -99,12 +108,16 @@ class DimensionStore:
             "overwrite"
         ).parquet(self._path("control", run))
 
-    def commit_delta(self, run: int, new_current: DataFrame, closed_now: DataFrame, marks: DataFrame) -> Commit:
-        """Write a delta run: new current snapshot, rows closed now, then the control partition."""
+    def _write_rows(self, run: int, rows: DataFrame) -> None:
+        rows.select(*DIMENSION_COLUMNS).write.mode("overwrite").partitionBy("etl_current_ind").parquet(
+            self._path("runs", run)
+        )
+
+    def commit_delta(self, run: int, rows: DataFrame, marks: DataFrame) -> Commit:
+        """Write a delta run (current snapshot + rows closed now, one job), then the control partition."""
         prev = self.last_commit()
         history_from = 1 if prev is None else prev.history_from
-        new_current.select(*DIMENSION_COLUMNS).write.mode("overwrite").parquet(self._path("current", run))
-        closed_now.select(*DIMENSION_COLUMNS).write.mode("overwrite").parquet(self._path("history", run))
+        self._write_rows(run, rows)
         self._commit(run, marks, history_from)
         return Commit(run, history_from)
 
@@ -112,6 +125,6 @@ class DimensionStore:
         """Full reload: back up the whole dimension, replace it by ``temp``; history restarts."""
         if self.last_commit() is not None:
             self.dimension().write.mode("overwrite").parquet(self._path("backup", run))
-        temp.select(*DIMENSION_COLUMNS).write.mode("overwrite").parquet(self._path("current", run))
+        self._write_rows(run, temp)
         self._commit(run, marks, run + 1)
         return Commit(run, run + 1)
