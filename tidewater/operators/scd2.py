@@ -126,6 +126,19 @@ def hard_delete_close(ids: DataFrame, run: RunContext):
     return lambda t: close_ids(t, ids, run)
 
 
+def apply_corrected(current: DataFrame, classified: DataFrame, run: RunContext, deleted_ids: DataFrame | None = None) -> DataFrame:
+    """The rows a run writes from a corrected classification (``classify_corrected``).
+
+    Every current row passes once through a left join with the de-duplicated ids to close
+    (delta-sized: AQE broadcasts it when it is small, so the current rows are not shuffled);
+    the new versions come from the classification itself.
+    """
+    to_close = classified.where("_close").select("id")
+    if deleted_ids is not None:
+        to_close = to_close.unionByName(deleted_ids.select("id"))
+    return close_ids(current, to_close, run).unionByName(classified.where("_insert").select("_new.*"))
+
+
 def merge_corrected_rows(
     current: DataFrame,
     history: DataFrame,
@@ -135,28 +148,11 @@ def merge_corrected_rows(
     run: RunContext,
     deleted_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Corrected type-2 merge: the rows a run writes, in one pass.
-
-    One full outer join of the current rows with the reduced stage classifies every id
-    (``classify_corrected``); each joined row then yields its current row (closed if its id
-    changed or was deleted) and, for a new / re-opened / changed id, the new version.
-    Nothing is computed twice, and history is only read for ids in the delta.
-    """
+    """Corrected type-2 merge: every current row (closed where its id changed or was deleted)
+    plus the new versions.  Callers that run it at scale write the classification first
+    (``classify_corrected``, delta-sized) and call ``apply_corrected`` on the written table."""
     cls = classify_corrected(customer, address, payment, current, history, run, deleted_ids)
-    r = F.col("_row")
-    hit = F.col("_close")
-    kept = F.when(
-        r.isNotNull(),
-        F.struct(
-            *[r.getField(c).alias(c) for c in ("etl_key", "id", "name", "address", "payment_method", "etl_start_date")],
-            F.when(hit, run.close_date()).otherwise(r.getField("etl_end_date")).alias("etl_end_date"),
-            F.when(hit, F.lit(CLOSED)).otherwise(r.getField("etl_current_ind")).alias("etl_current_ind"),
-            F.when(hit, run.ts()).otherwise(r.getField("etl_timestamp")).alias("etl_timestamp"),
-        ),
-    )
-    new = F.when(F.col("_insert"), F.col("_new"))
-    rows = F.filter(F.array(kept, new), lambda x: x.isNotNull())
-    return cls.select(F.explode(rows).alias("_r")).select("_r.*")
+    return apply_corrected(current, cls, run, deleted_ids)
 
 
 def merge_corrected(

@@ -171,31 +171,32 @@ def classify_corrected(
     run: RunContext,
     deleted_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """One joined row per id that is current or staged, with the corrected decision.
+    """The corrected decision for every staged id (a delta-sized table, the corrected "temp").
 
-    ``current`` (at most one current row per id, the invariant corrected mode maintains) is
-    full-outer-joined once with the reduced stage; only re-opened ids look into history.
+    The dimension is only touched through semi-joins with the staged ids: their current row
+    (at most one per id, the invariant corrected mode maintains) and, for ids without one,
+    their latest closed row.
 
     * candidates: staged customer ids, and staged child ids that have a current row; ids
       soft-deleted in the stage or listed in ``deleted_ids`` are not candidates;
     * new attributes: ``coalesce(staged, latest stored version)``;
     * ``_insert``: candidate that is new, re-opened, or differs from its current row
       (IS DISTINCT FROM, column by column);
-    * ``_close``: current row of an inserted or deleted id.
+    * ``_close``: the id has a current row and is inserted or deleted.
 
-    Columns: ``_row`` (the current row as a struct, NULL if none), ``_new`` (the would-be
-    new version as a struct), ``_insert``, ``_close``.
+    Columns: id, ``_new`` (the would-be new version as a struct), ``_insert``, ``_close``.
     """
     staged = reduce_staged(customer, address, payment)
-    old = latest_closed(history, staged.select("id"))
-    cur = current.select("id", F.struct(*DIMENSION_COLUMNS).alias("_row"))
-    j = cur.join(staged, "id", "full").join(old, "id", "left")
+    ids = staged.select("id")
+    cur = current.join(ids, "id", "left_semi").select("id", F.struct(*DIMENSION_COLUMNS).alias("_row"))
+    old = latest_closed(history, ids)
+    j = staged.join(cur, "id", "left").join(old, "id", "left")
     gone = F.coalesce(F.col("deleted"), F.lit(False))
     if deleted_ids is not None:
         j = j.join(deleted_ids.select("id").distinct().withColumn("_gone", F.lit(True)), "id", "left")
         gone = gone | F.coalesce(F.col("_gone"), F.lit(False))
     has_cur = F.col("_row").isNotNull()
-    staged_key = F.coalesce(F.col("in_customer"), F.lit(False)) | (F.coalesce(F.col("in_child"), F.lit(False)) & has_cur)
+    staged_key = F.col("in_customer") | (F.col("in_child") & has_cur)
     prev = F.when(has_cur, F.struct(F.col("_row.name"), F.col("_row.address"), F.col("_row.payment_method"))).otherwise(
         F.col("_old")
     )
@@ -208,12 +209,11 @@ def classify_corrected(
         | ~payment_.eqNullSafe(F.col("_row.payment_method"))
     )
     insert = staged_key & ~gone & changed
-    close = has_cur & (insert | gone)
     return j.select(
-        "_row",
+        "id",
         F.struct(*new_version_columns(F.col("id"), name, address_, payment_, run)).alias("_new"),
         insert.alias("_insert"),
-        close.alias("_close"),
+        (has_cur & (insert | gone)).alias("_close"),
     )
 
 

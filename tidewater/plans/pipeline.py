@@ -117,6 +117,8 @@ def customer_pipeline(
             rows = scd2.merge_literal_rows(current, history, temp, run, extra)
         else:
             deleted = scd2.hard_delete_ids(staged["deleted_entries"]) if deletes == "hard" else None
-            rows = scd2.merge_corrected_rows(current, history, c, a, p, run, deleted)
+            # The classification is delta-sized and read twice: write it once (the "temp" table).
+            cls = materialize(transform.classify_corrected(c, a, p, current, history, run, deleted))
+            rows = scd2.apply_corrected(current, cls, run, deleted)
         commit = store.commit_delta(run_id, rows, merged_marks)
     return RunResult(commit, plan.load_type)

@@ -49,6 +49,7 @@ class Dimension:
         self._targets: dict[int, DataFrame] = {}
         self._inputs: dict[int, DataFrame] = {}
         self._temps: dict[int, DataFrame] = {}
+        self._classified: dict[int, DataFrame] = {}
 
     def temp(self, d: int) -> DataFrame:
         """The candidate ("temp") table of day d."""
@@ -61,7 +62,7 @@ class Dimension:
             elif self.mode == "literal":
                 out = materialize(transform.delta_transform_literal(c, a, p, self.input(d - 1), run))
             else:
-                out = transform.delta_transform_corrected(c, a, p, self.input(d - 1), run)
+                out = self.classified(d).where("_insert").select("_new.*")
             self._temps[d] = out
         return self._temps[d]
 
@@ -74,11 +75,19 @@ class Dimension:
             elif self.mode == "literal":
                 out = scd2.merge_literal(self.input(d - 1), self.temp(d), run)
             else:
-                c, a, p = self.sc.stages(d)
-                out = scd2.merge_corrected(self.input(d - 1), c, a, p, run)
+                current, history = scd2.split(self.input(d - 1))
+                out = history.unionByName(scd2.apply_corrected(current, self.classified(d), run))
             self._targets[d] = out
         return self._targets[d]
 
+    def classified(self, d: int) -> DataFrame:
+        """Corrected mode: the delta-sized classification of day d, written once."""
+        if d not in self._classified:
+            c, a, p = self.sc.stages(d)
+            current, history = scd2.split(self.input(d - 1))
+            self._classified[d] = materialize(transform.classify_corrected(c, a, p, current, history, run_of_day(d)))
+        return self._classified[d]
+
     def input(self, d: int) -> DataFrame:
         """Day d's dimension as the input of day d + 1: written once from day 2 on."""
         if d not in self._inputs:
@@ -243,9 +252,15 @@ def soft_delete_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.merge_literal(tgt, temp, run, extra_close=scd2.soft_delete_close(c, run))
 
 
+def _corrected_day(tgt: DataFrame, c: DataFrame, a: DataFrame, p: DataFrame, run: RunContext, deleted=None) -> DataFrame:
+    current, history = scd2.split(tgt)
+    cls = materialize(transform.classify_corrected(c, a, p, current, history, run, deleted))
+    return history.unionByName(scd2.apply_corrected(current, cls, run, deleted))
+
+
 def soft_delete_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     tgt, c, a, p, _, run = _delete_day3(spark, sf_dir, "corrected", soft=True)
-    return scd2.merge_corrected(tgt, c, a, p, run)
+    return _corrected_day(tgt, c, a, p, run)
 
 
 def hard_delete_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +272,7 @@ def hard_delete_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hard_delete_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     tgt, c, a, p, de, run = _delete_day3(spark, sf_dir, "corrected", soft=False)
-    return scd2.merge_corrected(tgt, c, a, p, run, deleted_ids=scd2.hard_delete_ids(de))
+    return _corrected_day(tgt, c, a, p, run, scd2.hard_delete_ids(de))
 
 
 def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
