@@ -6,8 +6,8 @@ effect, as successive DataFrames T0 -> T1 -> T2 -> T3.  ``UPDATE … FROM`` beco
 projection over a left join with a per-id aggregate of the source (no fan-out, duplicates of
 the target kept as they are).
 
-Corrected mode classifies each affected id once and rewrites only the current rows of
-affected ids; closed history passes through untouched.
+Corrected mode classifies each staged id once (a delta-sized table); current rows then pass
+through one left join with the ids to close, and closed history passes through untouched.
 """
 
 from __future__ import annotations
