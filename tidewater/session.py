@@ -31,21 +31,26 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidewater") -> SparkSession:
-    spark = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.unionOutputPartitioning", "false")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
+def build_session(
+    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidewater", conf: dict | None = None
+) -> SparkSession:
+    """Session for tests, benchmarks and local runs; ``conf`` (e.g. ``CLUSTER_CONF``) overrides."""
+    settings = {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",
+        "spark.sql.unionOutputPartitioning": "false",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
+    }
+    settings.update(conf or {})
+    builder = SparkSession.builder.master(master).appName(app)
+    for k, v in settings.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
