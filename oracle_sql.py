@@ -389,6 +389,10 @@ WHERE s_nationkey >= 12
   AND (SELECT count(*) > 0 AND coalesce(sum(CASE WHEN s_suppkey IS NULL THEN 1 ELSE 0 END), 0) < 10
        FROM supplier WHERE s_nationkey >= 12)"""
 
+ORACLE_SQL["file_arrival_ingest"] = """
+SELECT CAST(s_suppkey AS INTEGER) AS id, s_name AS name, s_acctbal AS amount
+FROM supplier WHERE s_nationkey IS NOT NULL"""
+
 ORACLE_SQL["order_total"] = """
 WITH docs AS (
   SELECT event_type, json_transform(props, '"MAP(VARCHAR, DOUBLE)"') AS m FROM events),

@@ -346,6 +346,27 @@ def gated_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def file_arrival_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers arrive as two CSV files (nations < 12, then the rest); each arrival is picked
+    up by its own availableNow run of the streaming ingest (same checkpoint), gated and
+    appended.  Returns the loaded target."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..streaming.file_ingest import run_file_ingest
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tidewater-stream/{uuid.uuid4().hex}"
+    sup = _t(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("amount"),
+        F.col("s_nationkey"),
+    )
+    for part in (sup.where(F.col("s_nationkey") < 12), sup.where(F.col("s_nationkey") >= 12)):
+        # an arrival = new files (new names) in the watched directory
+        part.drop("s_nationkey").write.mode("append").option("header", "true").csv(f"{root}/incoming")
+        run_file_ingest(spark, f"{root}/incoming", f"{root}/target", checkpoint=f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/target").select("id", "name", "amount")
+
+
 # --- small transforms ---------------------------------------------------------------------
 
 
@@ -388,6 +409,7 @@ QUERIES = {
     "dq_metrics": dq_metrics,
     "dq_gate": dq_gate,
     "gated_append": gated_append,
+    "file_arrival_ingest": file_arrival_ingest,
     "order_total": order_total,
     "calendar_activity": calendar_activity,
     "invitation_text": invitation_text,
