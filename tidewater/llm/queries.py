@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_mix, op2_urls, op3_warc, op5_toxicity, op7_decontaminate, op8_topk, op9_licenses, op10_chat
+from . import op1_mix, op2_urls, op3_warc, op4_jaccard, op5_toxicity, op7_decontaminate, op8_topk, op9_licenses, op10_chat
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "warc_type", "refers_to", "record_id", "target_uri", "block_digest", "length", "links", F.sha2("record", 256).alias("record_sha256"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return op5_toxicity.scored(docs, op5_toxicity.fitted(docs, table(spark, sf_dir, "labels")))
@@ -60,6 +64,7 @@ QUERIES = {
         op1_mix_sources,
         op2_url_filters,
         op3_warc_derivatives,
+        op4_ngram_jaccard,
         op5_toxicity_scores,
         op7_benchmark_hits,
         op8_exact_topk,
@@ -122,6 +127,28 @@ FROM p LEFT JOIN (SELECT * FROM fits WHERE place = 1) f
   ON p.page_id IS NOT DISTINCT FROM f.page_id AND p.host = f.host AND p.path = f.path
 """
 
+OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                         ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) END AS s
+  FROM d),
+n AS (SELECT r, doc_id, len(s) AS n, md5(array_to_string(list_sort(s), chr(10))) AS class FROM sets),
+reps AS (SELECT min(r) AS r, class, any_value(n) AS n FROM n WHERE n > 0 GROUP BY class),
+e AS (SELECT r, unnest(s) AS x FROM sets WHERE r IN (SELECT r FROM reps)),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.r < b.r GROUP BY ALL),
+links AS (
+  SELECT p.class AS a, q.class AS b FROM common JOIN reps p ON p.r = a JOIN reps q ON q.r = b WHERE 100 * c >= 90 * (p.n + q.n - c)),
+pairs AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT class, class FROM reps UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a),
+ids AS (SELECT class, min(doc_id) AS id FROM n GROUP BY class),
+component AS (SELECT a AS class, min(id) AS id FROM reach JOIN ids ON ids.class = reach.b GROUP BY a)
+SELECT doc_id, n::BIGINT AS n_shingles, coalesce(CASE WHEN n > 0 THEN id END, doc_id) AS component_id FROM n LEFT JOIN component USING (class)
+"""
+
 _ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 OP7 = rf"""
@@ -213,6 +240,7 @@ FROM f GROUP BY conv_id
 ORACLE_SQL = {
     "op1_mix_sources": OP1,
     "op2_url_filters": OP2,
+    "op4_ngram_jaccard": OP4,
     "op7_benchmark_hits": OP7,
     "op8_exact_topk": OP8,
     "op9_license_scan": _op9(),
