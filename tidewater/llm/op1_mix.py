@@ -144,12 +144,13 @@ def ordered(docs: DataFrame, share: float = SHARE, limit: int = LIMIT, weights:
     """The mix itself: the rows of ``docs``, as often as they are taken, with ``mix_pass`` (from 0) and
     ``mix_finish``, range-sorted by finish time."""
     decided = mixed(docs, share, limit, weights)
-    copies = decided.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "cut", F.posexplode("finishes").alias("mix_pass", "mix_finish")
-    ).where(F.col("cut").isNull() | (F.col("mix_finish") <= F.col("cut")))
-    copies = copies.drop("cut").distinct()  # rows alike in these three share their finish times
-    d = docs.drop("mix_pass", "mix_finish").withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    on = [d["doc_id"].eqNullSafe(copies["_id"]), d["source"].eqNullSafe(copies["_source"]), d["_size"] == copies["_size"]]
-    out = d.join(copies, on).select(*[d[c] for c in d.columns if c != "_size"], "mix_pass", "mix_finish")
+    copies = decided.select("doc_id", "source", "size", "cut", F.posexplode("finishes").alias("mix_pass", "mix_finish"))
+    copies = copies.where(F.col("cut").isNull() | (F.col("mix_finish") <= F.col("cut"))).drop("cut").distinct()
+    # rows alike in doc_id, source and size share their finish times
+    d = docs.drop("mix_pass", "mix_finish")
+    row = F.struct(*[d[c] for c in d.columns]).alias("row")  # so no name of the table's can clash
+    d = d.select(row, F.coalesce(F.regexp_count(d["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("n"))
+    on = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source")) & (F.col("n") == F.col("size"))
+    out = d.join(copies, on).select("row.*", "mix_pass", "mix_finish")
     n = parts_for(docs.sparkSession, 0, 1)
     return out.repartitionByRange(n, "mix_finish").sortWithinPartitions("mix_finish")

@@ -301,3 +301,22 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     s, c = sets.alias("s"), of_class.alias("c")
     out = s.join(c, (F.col("s.one") == F.col("c.one")) & (F.col("s.two") == F.col("c.two")) & (F.col("s.n_shingles") > 0), "left")
     return out.select("s.doc_id", "s.n_shingles", F.when(F.col("s.doc_id").isNotNull(), F.coalesce("c.component_id", "s.doc_id")).alias("component_id"))
+
+
+def one_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all their columns, whose doc_id is their component's smallest; of rows that
+    share a doc_id and a component, one.  Texts without runs, and rows without doc_id, all stay."""
+    found = joined(docs, words, percent)
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")  # so no name of the table's can clash
+    d = docs.select(row, docs["doc_id"].cast("long").alias("id"))
+    left = d.join(gone, F.col("id") == F.col("doc_id"), "left_anti")
+    again = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if again.limit(1).count():
+        again = written(again.select("doc_id"))
+        several = left.join(again, F.col("id") == F.col("doc_id"), "left_semi")
+        runs_in = F.coalesce(F.col("row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        one = several.where(runs_in).groupBy("id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
+        rest = left.join(again, F.col("id") == F.col("doc_id"), "left_anti").unionByName(several.where(~runs_in))
+        left = rest.unionByName(one.select("row", "id"))
+    return left.select("row.*")

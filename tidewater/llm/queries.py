@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_mix, op2_urls, op3_warc, op4_jaccard, op5_toxicity, op7_decontaminate, op8_topk, op9_licenses, op10_chat
+from . import op1_mix, op2_urls, op3_warc, op4_jaccard, op5_toxicity, op6_lines, op7_decontaminate, op8_topk, op9_licenses, op10_chat
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op5_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_toxicity.scored(docs, op5_toxicity.fitted(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_lines.judged(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op7_decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -66,6 +70,7 @@ QUERIES = {
         op3_warc_derivatives,
         op4_ngram_jaccard,
         op5_toxicity_scores,
+        op6_line_dedup,
         op7_benchmark_hits,
         op8_exact_topk,
         op9_license_scan,
