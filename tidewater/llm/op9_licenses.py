@@ -69,7 +69,8 @@ def blocks_of(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, block, words): the lines that have words."""
     d = columns_of(docs, "doc_id", "text")
     lines = d.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("block", "line"))
-    return lines.select("doc_id", "text_hash", "block", block_words(F.col("line")).alias("words")).where(F.size("words") > 0)
+    # out of an explode, the words are made once for all that reads them
+    return lines.select("doc_id", "text_hash", "block", F.explode(F.array(block_words(F.col("line")))).alias("words")).where(F.size("words") > 0)
 
 
 def rarity(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -133,8 +134,10 @@ def scanned(docs: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASES) ->
     any_phrase = "|".join(RAW_BETWEEN.join(words(p)) for p, _ in phrases)
     holds = F.col("text").rlike(f"(?i){any_phrase}")  # may hold one, which the words decide
     ws = F.array_remove(F.split(lower_ascii(F.col("text")), BETWEEN), "")
-    found = F.when(holds, F.array(*[places(ws, p) for p, _ in phrases])).otherwise(F.array().cast("array<array<int>>"))
-    d = d.select("doc_id", "text_hash", F.regexp_count("text", F.lit(RAW_WORD)).cast("long").alias("n_words"), found.alias("found"))
+    all_places = F.transform(F.array(ws), lambda w: F.array(*[places(w, p) for p, _ in phrases]))[0]  # as an element, the words are made once
+    found = F.when(holds, all_places).otherwise(F.array().cast("array<array<int>>"))
+    n_words = F.regexp_count("text", F.lit(RAW_WORD)).cast("long")
+    d = d.select("doc_id", "text_hash", n_words.alias("n_words"), F.explode(F.array(found)).alias("found"))
     everywhere = F.flatten("found")
     hit = [F.when(F.size(F.coalesce(F.get("found", F.lit(i)), F.array().cast("array<int>"))) > 0, F.lit(label)) for i, (_, label) in enumerate(phrases)]
     return d.select(
