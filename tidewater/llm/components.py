@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+#: Edges of a written part, about.
+PART = 500_000
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
@@ -31,12 +35,12 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # large star: the larger neighbours of a node turn to the smallest one around it
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = now.select(F.col("b").alias("a"), F.col("a").alias("b")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: a node's smaller neighbours, and itself, turn to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        now = written(small.distinct())
+        now = written(small.distinct().coalesce(-(-max(after[0], 1) // PART)))
         before, after = after, _state(now)
     top = now.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(top)

@@ -13,7 +13,7 @@ interval meets.  A sweep reads its range as a stream and holds the stack alone.
 
 Defined cases: a null address, or one without ``://``, has an empty host and path, fits no rule and
 gets the default; of several fitting rules the longest (host and path) wins, then the one of the
-longer host; of two equal rules with different verdicts, block wins; repeated rows are judged each;
+longer host; of two equal rules with different verdicts, block wins; a rule of an empty host fits every host; repeated rows are judged each;
 an empty table of pages or rules is fine; further columns of pages are ignored.
 """
 

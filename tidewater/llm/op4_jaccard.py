@@ -279,7 +279,9 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
 
     large = texts.where("tiles > 1")
     if large.limit(1).count():
-        many = large.join(components(links), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+        stars = components(links)
+        links = written(stars.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        many = large.join(links.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
         by_label = many.groupBy("family", "label").count()
         largest = by_label.groupBy("family").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
         many = written(many.join(largest, "family").withColumn("loose", F.col("label") != F.col("largest")).drop("largest"))
