@@ -32,7 +32,6 @@ def _session(cpus: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.unionOutputPartitioning", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))

@@ -420,3 +420,35 @@ SELECT n_nationkey, n_name, 'Beach day!' AS subject,
        'It''s Saturday and I''m heading to the beach.<br>Come join me!' AS body,
        '<title>Beach day!</title><p>It''s Saturday and I''m heading to the beach.<br>Come join me!</p>' AS html
 FROM nation"""
+
+ORACLE_SQL["weekend_split"] = """
+SELECT dayofweek(o_orderdate) IN (0, 6) AS is_weekend, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
+FROM orders GROUP BY 1"""
+
+ORACLE_SQL["extract_overlap"] = """
+SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00') - INTERVAL 1 DAY"""
+
+ORACLE_SQL["csv_landing_roundtrip"] = """
+SELECT doc_id,
+       CASE doc_id % 6 WHEN 0 THEN '  ' || text || ' ' || chr(9)
+                       WHEN 1 THEN '"' || text || '", ""x""'
+                       WHEN 2 THEN ''
+                       WHEN 3 THEN NULL
+                       WHEN 4 THEN text || chr(13) || chr(10) || ', ' || chr(13) || ' end' || chr(10)
+                       ELSE text END AS note,
+       make_timestamp(doc_id * 7919000001) AS updated_at, lang
+FROM documents"""
+
+ORACLE_SQL["csv_ingest_rows"] = """
+SELECT s_suppkey::INTEGER AS id, s_name AS name, s_acctbal AS amount FROM supplier"""
+
+ORACLE_SQL["gated_ingest_files"] = """
+SELECT CASE WHEN s_nationkey < 12 THEN s_suppkey::INTEGER END AS id, s_name AS name, s_acctbal AS amount,
+       CASE WHEN s_nationkey < 12 THEN 'target' ELSE 'stage' END AS place
+FROM supplier"""
+
+ORACLE_SQL["file_arrival_gated"] = """
+SELECT s_suppkey::INTEGER AS id, s_name AS name,
+       CASE WHEN s_nationkey % 5 <> 0 THEN 'load_target' ELSE 'notify' END AS route
+FROM supplier"""

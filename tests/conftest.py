@@ -22,7 +22,6 @@ def spark():
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.unionOutputPartitioning", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
         .getOrCreate()

@@ -29,6 +29,7 @@ def activity_id(activity: Column, is_weekday: Column) -> Column:
     return F.concat(group, F.lit("."), F.regexp_replace(activity, " ", "_"))
 
 
+# Fixed value: the sentence.
 def activity_message(day: Column, activity: Column) -> Column:
     """"It's <Day> and I'm busy with <activity>." (day capitalised)."""
     return F.concat(F.lit("It's "), F.initcap(day), F.lit(" and I'm busy with "), activity, F.lit("."))

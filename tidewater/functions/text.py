@@ -23,6 +23,7 @@ def money_text(prefix: str, value: Column) -> Column:
     return F.format_string(prefix + "%.2f", value)
 
 
+# Fixed value: the HTML template.
 def html_invitation(subject: Column, body: Column) -> Column:
     """'<title>{subject}</title><p>{body}</p>'."""
     return F.concat(F.lit("<title>"), subject, F.lit("</title><p>"), body, F.lit("</p>"))

@@ -27,23 +27,13 @@ def dq_metrics(df: DataFrame, key: str, table_name: str | None = None) -> DataFr
     return out
 
 
-def gate_passes(total: Column, nulls: Column) -> Column:
-    """total > 0 and nulls < 10; an empty input never passes (its NULL sum is never compared)."""
-    return (total > 0) & (F.coalesce(nulls, F.lit(0)) < MAX_NULL_KEYS)
+def gate_passes(total: Column, nulls: Column, max_null_keys: int = MAX_NULL_KEYS) -> Column:
+    """total > 0 and nulls < the limit; an empty input never passes (its NULL sum is never compared)."""
+    return (total > 0) & (F.coalesce(nulls, F.lit(0)) < max_null_keys)
 
 
-def route(metrics: DataFrame) -> DataFrame:
+def route(metrics: DataFrame, max_null_keys: int = MAX_NULL_KEYS) -> DataFrame:
     """Add the gate decision to a metrics frame."""
-    ok = gate_passes(F.col("total_count"), F.col("null_count"))
+    ok = gate_passes(F.col("total_count"), F.col("null_count"), max_null_keys)
     return metrics.withColumn("route", F.when(ok, F.lit(ROUTE_LOAD)).otherwise(F.lit(ROUTE_NOTIFY)))
 
-
-def observed_metrics(df: DataFrame, key: str, name: str = "dq"):
-    """Attach the metrics to a DataFrame so they are computed in the same pass as its write.
-
-    Returns (observed_df, observation); read ``observation.get`` after an action.
-    """
-    from pyspark.sql import Observation
-
-    obs = Observation(name)
-    return df.observe(obs, *dq_metric_columns(key)), obs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import activity_id, activity_message, day_name
+from ..functions.calendar import activity_id, activity_message, day_name, is_weekend
 from ..functions.text import html_invitation, map_value_sum, money_text, parse_number_map
 from ..sources.inline import INVITATION_BODY, INVITATION_SUBJECT, ORDER_TOTAL_PREFIX
 
@@ -26,16 +26,10 @@ def order_totals(df: DataFrame, json_col: str, group: list[str]) -> DataFrame:
     )
 
 
-def with_day_activity(df: DataFrame, date_col: str, dim: DataFrame) -> DataFrame:
-    """Attach day name, weekday flag, activity, activity id and message to each row.
-
-    ``dim`` is the seven-row day table; the join is a broadcast hash join.
-    """
-    d = df.withColumn("day", day_name(F.col(date_col)))
-    j = d.join(F.broadcast(dim), "day", "left")
-    return j.withColumn("activity_id", activity_id(F.col("activity"), F.col("is_weekday"))).withColumn(
-        "message", activity_message(F.col("day"), F.col("activity"))
-    )
+def weekend_split(orders: DataFrame) -> DataFrame:
+    """Orders counted and summed for weekends and for working days."""
+    g = orders.groupBy(is_weekend(F.col("o_orderdate")).alias("is_weekend"))
+    return g.agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total_price"))
 
 
 def calendar_activity(orders: DataFrame, dim: DataFrame) -> DataFrame:

@@ -58,8 +58,13 @@ def new_versions(t1: DataFrame, temp: DataFrame, run: RunContext) -> DataFrame:
 
 
 def new_keys(target: DataFrame, temp: DataFrame, run: RunContext) -> DataFrame:
-    """Statement 3: temp rows whose id does not occur in the target at all."""
-    j = temp.join(target.select("id"), "id", "left_anti")
+    """Statement 3: temp rows whose id does not occur in the target at all.
+
+    Stored ids are first cut to the temp's: against a delta small enough to broadcast, the
+    dimension's ids are scanned and never shuffled, and the anti join has two delta-sized sides.
+    """
+    known = target.select("id").join(temp.select("id").distinct(), "id", "left_semi").distinct()
+    j = temp.join(known, "id", "left_anti")
     return j.select(*[F.col(c) for c in DIMENSION_COLUMNS if c != "etl_timestamp"], run.ts().alias("etl_timestamp"))
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scd import CURRENT, RunContext, new_version_columns
+from ..functions.scd import CURRENT, RunContext, any_distinct, new_version_columns
 from ..schemas import DIMENSION, DIMENSION_COLUMNS
 
 
@@ -203,11 +203,8 @@ def classify_corrected(
     name = F.coalesce(F.col("name"), prev.getField("name"))
     address_ = F.coalesce(F.col("address"), prev.getField("address"))
     payment_ = F.coalesce(F.col("payment_method"), prev.getField("payment_method"))
-    changed = ~has_cur | (
-        ~name.eqNullSafe(F.col("_row.name"))
-        | ~address_.eqNullSafe(F.col("_row.address"))
-        | ~payment_.eqNullSafe(F.col("_row.payment_method"))
-    )
+    stored = [F.col("_row.name"), F.col("_row.address"), F.col("_row.payment_method")]
+    changed = ~has_cur | any_distinct(list(zip((name, address_, payment_), stored, strict=True)))
     insert = staged_key & ~gone & changed
     return j.select(
         "id",

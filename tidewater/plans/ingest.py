@@ -9,10 +9,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import ROUTE_LOAD, ROUTE_NOTIFY, dq_metrics
+from ..operators.quality import MAX_NULL_KEYS, ROUTE_LOAD, ROUTE_NOTIFY, dq_metrics, route
 from ..schemas import SAMPLE
 from ..sources.csv_io import read_headered_csv
-from ..sources.extract import source_exists
+from ..sources.extract import source_exists, source_version
 
 
 @dataclass(frozen=True)
@@ -22,11 +22,14 @@ class GateResult:
     route: str
 
 
-def measure(df: DataFrame, key: str) -> GateResult:
-    row = dq_metrics(df, key).first()
-    total, nulls = row["total_count"], row["null_count"]
-    ok = total > 0 and (nulls or 0) < 10
-    return GateResult(total, nulls, ROUTE_LOAD if ok else ROUTE_NOTIFY)
+def measure(df: DataFrame, key: str, max_null_keys: int = MAX_NULL_KEYS) -> GateResult:
+    row = route(dq_metrics(df, key), max_null_keys).first()
+    return GateResult(row["total_count"], row["null_count"], row["route"])
+
+
+def _append(df: DataFrame, target_path: str, load_id: str) -> None:
+    """Append as the load's own partition: the same load again replaces what it wrote before."""
+    df.write.mode("overwrite").parquet(f"{target_path}/load_id={load_id}")
 
 
 def gated_append(stage: DataFrame, target: DataFrame, key: str = "id", check: str = "stage") -> tuple[DataFrame, GateResult]:
@@ -41,32 +44,49 @@ def gated_append(stage: DataFrame, target: DataFrame, key: str = "id", check: st
     return result, gate
 
 
-def csv_ingest(spark: SparkSession, src_path: str, target_path: str, key: str = "id", schema=SAMPLE) -> GateResult | None:
+def csv_ingest(
+    spark: SparkSession, src_path: str, target_path: str, key: str = "id", schema=SAMPLE, load_id: str | None = None
+) -> GateResult | None:
     """Exists-check -> append the headered CSV to the target -> metrics of the target.
 
     A missing source file is reported (None) and the run goes on.  The metrics cover the
-    whole target after the append, as the source system reports them.
+    whole target after the append, as the source system reports them.  A load is named by its
+    files' paths, times and lengths unless ``load_id`` names it: running it again, also after a
+    half-finished run, leaves the target as one run does, and a file replaced in place is a
+    load of its own.
     """
     if not source_exists(spark, src_path):
         return None
-    df = read_headered_csv(spark, src_path, schema)
-    df.write.mode("append").parquet(target_path)
+    _append(read_headered_csv(spark, src_path, schema), target_path, load_id or source_version(spark, src_path))
     return measure(spark.read.parquet(target_path), key)
 
 
 def gated_ingest(
-    spark: SparkSession, src_path: str, stage_path: str, target_path: str, key: str = "id", schema=SAMPLE, check: str = "stage"
+    spark: SparkSession,
+    src_path: str,
+    stage_path: str,
+    target_path: str,
+    key: str = "id",
+    schema=SAMPLE,
+    check: str = "stage",
+    load_id: str | None = None,
+    max_null_keys: int = MAX_NULL_KEYS,
 ) -> GateResult | None:
-    """Exists-check -> stage the CSV (truncate + load) -> gate -> append stage to target, or notify."""
+    """Exists-check -> stage the CSV (truncate + load) -> gate -> append stage to target, or notify.
+
+    Refused rows stay in the stage.  Loads are named as in ``csv_ingest``.
+    """
     if not source_exists(spark, src_path):
         return None
+    load_id = load_id or source_version(spark, src_path)
     read_headered_csv(spark, src_path, schema).write.mode("overwrite").parquet(stage_path)
     stage = spark.read.parquet(stage_path)
     if check == "stage":
-        gate = measure(stage, key)
+        gate = measure(stage, key, max_null_keys)
+    elif source_exists(spark, target_path):
+        gate = measure(spark.read.parquet(target_path), key, max_null_keys)
     else:
-        gate = measure(spark.read.parquet(target_path), key) if source_exists(spark, target_path) else GateResult(0, None, ROUTE_NOTIFY)
+        gate = GateResult(0, None, ROUTE_NOTIFY)
     if gate.route == ROUTE_LOAD:
-        stage.write.mode("append").parquet(target_path)
+        _append(stage, target_path, load_id)
     return gate
-

@@ -54,7 +54,7 @@ def land_and_stage(
     write_landing(df, landing, fmt=landing_format)
     if landing_format == "csv":
         # Header-less positional CSV: columns in extract order, explicit schema.
-        landed = read_stage_csv(spark, landing, _stage_schema(table, df.columns))
+        landed = read_stage_csv(spark, landing, _stage_schema(table, df.columns), multiline=True)
     else:
         landed = spark.read.parquet(landing)
     write_stage(landed, stage)

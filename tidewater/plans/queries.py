@@ -8,6 +8,7 @@ the lineage of day 3 does not re-plan days 1 and 2 several times over.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,15 @@ from ..operators.quality import dq_metrics as _dq_metrics
 from ..operators.quality import route
 from ..operators.reporting import calendar_activity as _calendar_activity
 from ..operators.reporting import invitations, order_totals
+from ..operators.reporting import weekend_split as _weekend_split
 from ..operators.watermark import LoadPlan, high_water_mark, upsert_watermarks, watermark_value
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
+from ..sources.csv_io import read_stage_csv, write_landing
 from ..sources.extract import SOURCE_COLUMNS, extract
 from ..sources.inline import day_activity
 from .fixtures import Scenario, run_of_day
+from ..streaming.file_ingest import run_file_ingest
+from .ingest import csv_ingest, gated_ingest
 from .ingest import gated_append as _gated_append
 
 AS_OF_DAY = dt.date(2024, 1, 2)
@@ -350,16 +355,8 @@ def file_arrival_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers arrive as two CSV files (nations < 12, then the rest); each arrival is picked
     up by its own availableNow run of the streaming ingest (same checkpoint), gated and
     appended.  Returns the loaded target."""
-    import uuid
-
-    from ..session import checkpoint_dir
-    from ..streaming.file_ingest import run_file_ingest
-
-    root = f"{checkpoint_dir(spark).rstrip('/')}/tidewater-stream/{uuid.uuid4().hex}"
-    sup = _t(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("amount"),
-        F.col("s_nationkey"),
-    )
+    root = _scratch(spark, "tidewater-stream")
+    sup = _samples(spark, sf_dir)
     for part in (sup.where(F.col("s_nationkey") < 12), sup.where(F.col("s_nationkey") >= 12)):
         # an arrival = new files (new names) in the watched directory
         part.drop("s_nationkey").write.mode("append").option("header", "true").csv(f"{root}/incoming")
@@ -367,6 +364,84 @@ def file_arrival_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/target").select("id", "name", "amount")
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as CSV samples, with their nation."""
+    sup = _t(spark, sf_dir, "supplier")
+    id_ = F.col("s_suppkey").cast("int").alias("id")
+    return sup.select(id_, F.col("s_name").alias("name"), F.col("s_acctbal").alias("amount"), "s_nationkey")
+
+
+def file_arrival_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One arrival of suppliers as good files and bad ones (an amount that is no number): each file
+    is judged by itself, the bad ones' rows are kept apart.  Returns both, with their route."""
+    root = _scratch(spark, "tidewater-gated")
+    sup = _samples(spark, sf_dir)
+    good = F.col("s_nationkey") % 5 != 0
+    for part in (sup.where(good), sup.where(~good).withColumn("amount", F.lit("zz"))):
+        part.drop("s_nationkey").write.mode("append").option("header", "true").csv(f"{root}/incoming")
+    run_file_ingest(spark, f"{root}/incoming", f"{root}/target")
+    loaded = spark.read.parquet(f"{root}/target").select("id", "name", F.lit("load_target").alias("route"))
+    refused = spark.read.parquet(f"{root}/target_refused").select("id", "name", F.lit("notify").alias("route"))
+    return loaded.unionByName(refused)
+
+
+def csv_ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as two CSV loads, the first of them run twice: the target holds each row once."""
+    root = _scratch(spark, "tidewater-ingest")
+    sup = _samples(spark, sf_dir)
+    early = F.col("s_nationkey") < 12
+    for name, part in (("a", sup.where(early)), ("b", sup.where(~early))):
+        part.drop("s_nationkey").write.option("header", "true").csv(f"{root}/{name}")
+    for name in ("a", "a", "b"):
+        csv_ingest(spark, f"{root}/{name}", f"{root}/target")
+    return spark.read.parquet(f"{root}/target").select("id", "name", "amount")
+
+
+def gated_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as two gated CSV loads; in the second every id is missing, so its rows stay staged."""
+    root = _scratch(spark, "tidewater-gated-ingest")
+    sup = _samples(spark, sf_dir)
+    early = F.col("s_nationkey") < 12
+    parts = {"a": sup.where(early), "b": sup.where(~early).withColumn("id", F.lit(None).cast("int"))}
+    for name, part in parts.items():
+        part.drop("s_nationkey").write.option("header", "true").csv(f"{root}/{name}")
+        gated_ingest(spark, f"{root}/{name}", f"{root}/stage", f"{root}/target", max_null_keys=1)
+    loaded = spark.read.parquet(f"{root}/target").select("id", "name", "amount", F.lit("target").alias("place"))
+    return loaded.unionByName(spark.read.parquet(f"{root}/stage").select("id", "name", "amount", F.lit("stage").alias("place")))
+
+
+def csv_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through a CSV landing: line breaks, outer blanks, quotes, empty and NULL values,
+    microseconds.  What is staged equals what was extracted."""
+    k = F.col("doc_id") % 6
+    note = (
+        F.when(k == 0, F.concat(F.lit("  "), F.col("text"), F.lit(" \t")))
+        .when(k == 1, F.concat(F.lit('"'), F.col("text"), F.lit('", ""x""')))
+        .when(k == 2, F.lit(""))
+        .when(k == 3, F.lit(None).cast("string"))
+        .when(k == 4, F.concat(F.col("text"), F.lit("\r\n, \r end\n")))
+        .otherwise(F.col("text"))
+    )
+    ts = F.timestamp_micros(F.col("doc_id") * 7_919_000_001).cast("timestamp_ntz")
+    rows = _t(spark, sf_dir, "documents").select("doc_id", note.alias("note"), ts.alias("updated_at"), F.col("lang"))
+    path = _scratch(spark, "tidewater-landing")
+    write_landing(rows, path, fmt="csv")
+    return read_stage_csv(spark, path, rows.schema, multiline=True)
+
+
+def extract_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events above the mark of a load of the month's first half, and a day further back."""
+    events = _t(spark, sf_dir, "events")
+    prior = events.where(F.col("ts") < F.lit(EVENTS_PRIOR_CUTOFF).cast("timestamp_ntz"))
+    hwm = high_water_mark(prior, "events", "ts").first()["max_updated"]
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
+    return extract(events, LoadPlan("delta"), hwm, columns, column="ts", overlap=dt.timedelta(days=1))
+
+
 # --- small transforms ---------------------------------------------------------------------
 
 
@@ -378,6 +453,10 @@ def calendar_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _calendar_activity(_t(spark, sf_dir, "orders"), day_activity(spark))
 
 
+def weekend_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weekend_split(_t(spark, sf_dir, "orders"))
+
+
 def invitation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invitations(_t(spark, sf_dir, "nation"), ["n_nationkey", "n_name"])
 
@@ -413,4 +492,10 @@ QUERIES = {
     "order_total": order_total,
     "calendar_activity": calendar_activity,
     "invitation_text": invitation_text,
+    "file_arrival_gated": file_arrival_gated,
+    "csv_ingest_rows": csv_ingest_rows,
+    "gated_ingest_files": gated_ingest_files,
+    "csv_landing_roundtrip": csv_landing_roundtrip,
+    "extract_overlap": extract_overlap,
+    "weekend_split": weekend_split,
 }

@@ -74,7 +74,6 @@ DIMENSION = T.StructType(
     ]
 )
 DIMENSION_COLUMNS = [f.name for f in DIMENSION.fields]
-TRACKED_ATTRIBUTES = ["name", "address", "payment_method"]
 
 # High-water-mark control table.
 WATERMARK = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("max_updated", _TS)])

@@ -24,10 +24,6 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
-    # Spark 4.1: with union output partitioning on, a join over a union whose children are
-    # hash-partitioned with different partition counts failed ("Can't zip RDDs with unequal
-    # numbers of partitions") when merges were chained lazily.
-    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -42,7 +38,6 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
-        "spark.sql.unionOutputPartitioning": "false",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
     }
@@ -63,7 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the caller configured nothing (tests, local runs).
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # Only a local master, whose executors are this process, may use a folder of this machine.
         configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -2,8 +2,9 @@
 
 The landing format is comma CSV with ``"`` quoting and ``""`` escaping (what a database
 ``COPY … CSV`` writes).  Reads always use an explicit schema — no inference pass over the
-data — and are split across tasks by file ranges (``multiLine`` only when asked, since it
-makes each file one split).
+data — and are split across tasks by file ranges.  Values with line breaks need ``multiLine``,
+which makes each file one split; landing files are read so, as there is one for each task that
+wrote them.
 """
 
 from __future__ import annotations
@@ -11,29 +12,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# NULL is an unquoted empty field and '' a quoted one (""), as a database COPY … CSV writes
-# them.  With the default nullValue "" Spark would read both as NULL; a sentinel that never
-# occurs as a field value keeps them apart.
+# One set of options for the writer, the batch readers and the stream reader.  NULL is an
+# unquoted empty field and '' a quoted one (""), as a database COPY … CSV writes them.  With
+# the default nullValue "" a reader would take both for NULL; a sentinel that never occurs as
+# a field value keeps them apart.  Outer blanks belong to the value.
 NULL_SENTINEL = "\u0001"
+CSV_OPTIONS = {
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+CSV_READ = CSV_OPTIONS | {"nullValue": NULL_SENTINEL, "emptyValue": ""}
+# Microseconds are written out in full: a mark computed from what was staged must equal the
+# source's, or the next delta loads the same rows again.
+CSV_WRITE = CSV_OPTIONS | {
+    "nullValue": "",
+    "emptyValue": '""',
+    "lineSep": "\n",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
 
 
 def _reader(spark: SparkSession, schema: T.StructType, header: bool, multiline: bool):
-    return (
-        spark.read.schema(schema)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", NULL_SENTINEL)
-        .option("emptyValue", "")
-        .option("header", str(header).lower())
-        .option("multiLine", str(multiline).lower())
-        .option("mode", "FAILFAST")
-    )
+    reader = spark.read.schema(schema).options(**CSV_READ).option("header", str(header).lower())
+    return reader.option("multiLine", str(multiline).lower()).option("mode", "FAILFAST")
 
 
 def read_stage_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
     """Header-less positional CSV (columns in schema order), as a bulk stage load reads it."""
-    return _reader(spark, schema, header=False, multiline=multiline).csv(path)
+    # The record end is given, not guessed: a guess of CR LF would change such breaks inside values.
+    return _reader(spark, schema, header=False, multiline=multiline).option("lineSep", "\n").csv(path)
 
 
 def read_headered_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
@@ -45,7 +56,7 @@ def write_landing(df: DataFrame, path: str, fmt: str = "parquet", header: bool =
     """Replace the landing object set of one table (parallel write, one file per task)."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("sep", ",").option("quote", '"').option("escape", '"').option("header", str(header).lower()).csv(path)
+        w.options(**CSV_WRITE).option("header", str(header).lower()).csv(path)
     else:
         w.format(fmt).save(path)
 

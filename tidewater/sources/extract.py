@@ -7,6 +7,8 @@ the scan (``PushedFilters`` on Parquet and JDBC).
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +35,21 @@ def read_jdbc(
     num_partitions: int | None = None,
     properties: dict | None = None,
 ) -> DataFrame:
-    """Parallel JDBC read: with a numeric ``partition_column`` the table is split into ranges."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    """Parallel JDBC read: with a numeric ``partition_column`` the table is split into ranges.
+
+    Ranges need their bounds and their number, which follows the table's size; without a
+    partition column the table is read in one task.  Timestamps come without a zone, as the
+    marks they are compared with.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("preferTimestampNTZ", "true")
     if partition_column is not None:
+        if lower_bound is None or upper_bound is None or num_partitions is None:
+            raise ValueError("a partition_column needs lower_bound, upper_bound and num_partitions")
         reader = (
             reader.option("partitionColumn", partition_column)
             .option("lowerBound", str(lower_bound))
             .option("upperBound", str(upper_bound))
-            .option("numPartitions", str(num_partitions or 8))
+            .option("numPartitions", str(num_partitions))
         )
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
@@ -59,14 +68,29 @@ def extract(
     hwm=None,
     columns: Sequence[str] | None = None,
     column: str = "updated_at",
+    overlap: dt.timedelta | None = None,
 ) -> DataFrame:
     """Full extract (every column, no predicate) or delta extract (``column > hwm``, pruned columns).
 
-    A delta without a stored high-water mark raises ``MissingWatermarkError``.
+    A delta without a stored high-water mark raises ``MissingWatermarkError``.  ``overlap`` reads
+    that much further back, rows at the border included, for rows that were committed late; some
+    are then read twice, which the corrected merge takes (it compares with what is stored), the
+    literal one doesn't.
     """
     if plan.is_full:
         return source
-    return select_source(source, columns, plan.predicate(hwm, column))
+    return select_source(source, columns, plan.predicate(hwm, column, overlap))
+
+
+def source_version(spark: SparkSession, path: str) -> str:
+    """A name for what stands at ``path`` now: of its files' paths, times and lengths."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(at)
+    files = [x for f in found for x in (fs.listStatus(f.getPath()) if f.isDirectory() else [f])]
+    told = sorted(f"{f.getPath()} {f.getModificationTime()} {f.getLen()}" for f in files if not f.getPath().getName().startswith(("_", ".")))
+    return hashlib.sha256("\n".join(told).encode()).hexdigest()[:32]
 
 
 def source_exists(spark: SparkSession, path: str) -> bool:

@@ -23,14 +23,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import DIMENSION, DIMENSION_COLUMNS, WATERMARK
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+CONTROL = T.StructType([*WATERMARK.fields, T.StructField("history_from", T.LongType()), T.StructField("run", T.IntegerType())])
+# etl_current_ind and run are partition columns, last as Spark puts them
+RUN_ROWS = T.StructType([*(f for f in DIMENSION.fields if f.name != "etl_current_ind"), DIMENSION["etl_current_ind"]])
+ALL_ROWS = T.StructType([*RUN_ROWS.fields, T.StructField("run", T.IntegerType())])
+
+
+def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path`` by its known schema (no inference over its files), None if nothing is there."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
@@ -44,9 +52,13 @@ class Commit:
 
 
 class DimensionStore:
+    """One process writes a store at a time; it reads the control rows once and follows its own commits."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known = False
+        self._last: Commit | None = None
 
     def _path(self, part: str, run: int | None = None) -> str:
         base = f"{self.root}/{part}"
@@ -55,15 +67,14 @@ class DimensionStore:
     # --- reading ----------------------------------------------------------------------------
 
     def last_commit(self) -> Commit | None:
-        """The highest committed run (one small aggregate; two scalars reach the driver)."""
-        ctl = _read_or_none(self.spark, self._path("control"))
-        if ctl is None:
-            return None
-        row = ctl.agg(F.max("run").alias("run")).first()
-        if row is None or row["run"] is None:
-            return None
-        hf = ctl.where(F.col("run") == row["run"]).agg(F.max("history_from").alias("h")).first()["h"]
-        return Commit(int(row["run"]), int(hf))
+        """The highest committed run (one small aggregate, once; two scalars reach the driver)."""
+        if not self._known:
+            ctl = _read_or_none(self.spark, self._path("control"), CONTROL)
+            row = None if ctl is None else ctl.agg(F.max(F.struct("run", "history_from")).alias("c")).first()
+            if row is not None and row["c"] is not None:
+                self._last = Commit(int(row["c"]["run"]), int(row["c"]["history_from"]))
+            self._known = True
+        return self._last
 
     def watermarks(self) -> DataFrame:
         """(table_name, max_updated) of the last committed run; empty before the first run."""
@@ -72,22 +83,28 @@ class DimensionStore:
             return self.spark.createDataFrame([], WATERMARK)
         return self.spark.read.parquet(self._path("control", c.run)).select("table_name", "max_updated")
 
-    def _runs(self) -> DataFrame | None:
-        return _read_or_none(self.spark, self._path("runs"))
+    def _rows(self, run: int) -> DataFrame:
+        """A committed run's rows.  A run that wrote none still has its folder; without one, data is lost."""
+        path = self._path("runs", run)
+        rows = _read_or_none(self.spark, path, RUN_ROWS)
+        if rows is None:
+            raise FileNotFoundError(f"run {run} is committed, but its rows are missing: {path}")
+        return rows
 
     def current(self) -> DataFrame:
         c = self.last_commit()
-        runs = None if c is None else self._runs()
-        if runs is None:
+        if c is None:
             return self.spark.createDataFrame([], DIMENSION)
-        return runs.where((F.col("run") == c.run) & (F.col("etl_current_ind") == "Y")).select(*DIMENSION_COLUMNS)
+        return self._rows(c.run).where(F.col("etl_current_ind") == "Y").select(*DIMENSION_COLUMNS)
 
     def history(self) -> DataFrame:
         """Closed rows of runs in [history_from, last run] (partition-pruned read)."""
         c = self.last_commit()
-        runs = None if c is None else self._runs()
-        if runs is None:
+        if c is None or c.history_from > c.run:
             return self.spark.createDataFrame([], DIMENSION)
+        for run in range(c.history_from, c.run + 1):
+            self._rows(run)
+        runs = self.spark.read.schema(ALL_ROWS).parquet(self._path("runs"))
         keep = F.col("run").between(c.history_from, c.run) & (F.col("etl_current_ind") != "Y")
         return runs.where(keep).select(*DIMENSION_COLUMNS)
 
@@ -103,10 +120,12 @@ class DimensionStore:
         c = self.last_commit()
         return 1 if c is None else c.run + 1
 
-    def _commit(self, run: int, marks: DataFrame, history_from: int) -> None:
+    def _commit(self, run: int, marks: DataFrame, history_from: int) -> Commit:
         marks.select("table_name", F.col("max_updated").cast("timestamp_ntz"), F.lit(history_from).cast("long").alias("history_from")).coalesce(1).write.mode(
             "overwrite"
         ).parquet(self._path("control", run))
+        self._known, self._last = True, Commit(run, history_from)
+        return self._last
 
     def _write_rows(self, run: int, rows: DataFrame) -> None:
         rows.select(*DIMENSION_COLUMNS).write.mode("overwrite").partitionBy("etl_current_ind").parquet(
@@ -118,13 +137,11 @@ class DimensionStore:
         prev = self.last_commit()
         history_from = 1 if prev is None else prev.history_from
         self._write_rows(run, rows)
-        self._commit(run, marks, history_from)
-        return Commit(run, history_from)
+        return self._commit(run, marks, history_from)
 
     def commit_full(self, run: int, temp: DataFrame, marks: DataFrame) -> Commit:
         """Full reload: back up the whole dimension, replace it by ``temp``; history restarts."""
         if self.last_commit() is not None:
             self.dimension().write.mode("overwrite").parquet(self._path("backup", run))
         self._write_rows(run, temp)
-        self._commit(run, marks, run + 1)
-        return Commit(run, run + 1)
+        return self._commit(run, marks, run + 1)
