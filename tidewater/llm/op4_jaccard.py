@@ -178,9 +178,9 @@ class Tree:
         return self.order[at]
 
 
-def links_in(h: np.ndarray, sizes: np.ndarray, first: np.ndarray, labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links of a tile that join what isn't joined yet: ``labels`` tells what is, and sets marked
-    ``first`` are compared with all others (the others among themselves too, if none is marked)."""
+def links_in(h: np.ndarray, sizes: np.ndarray, turn: np.ndarray, labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links of a tile that join what isn't joined yet, as ``labels`` tells.  ``turn``: 1 for sets that are
+    compared with all others first, 2 if only sets marked so are to be."""
     n = len(sizes)
     starts = np.cumsum(sizes) - sizes
     of = np.repeat(np.arange(n), sizes)
@@ -190,7 +190,7 @@ def links_in(h: np.ndarray, sizes: np.ndarray, first: np.ndarray, labels: np.nda
     lead = parent.copy()  # the component of each set, by a number
     out: list[tuple[int, int]] = []
     shared = None
-    asked = np.flatnonzero(first) if first.any() else np.argsort(-sizes, kind="stable")
+    asked = np.flatnonzero(turn == 2) if (turn == 2).any() else np.lexsort((-sizes, -turn))
     for i in asked.tolist():
         if (lead == lead[i]).all():
             break
@@ -217,7 +217,7 @@ def links_in(h: np.ndarray, sizes: np.ndarray, first: np.ndarray, labels: np.nda
 
 
 def linked(tiled: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): links found in ``tiled`` (family, tile, one, node, asked, label, text)."""
+    """(a, b): links found in ``tiled`` (family, tile, one, node, turn, label, text)."""
     n = parts_for(tiled.sparkSession, 0, 1)
     dealt = tiled.repartition(n, "family", "tile").sortWithinPartitions("family", "tile", "one")
 
@@ -225,17 +225,17 @@ def linked(tiled: DataFrame, words: int, percent: int) -> DataFrame:
         for _, t in grouped(batches, ["family", "tile"]):
             h, sizes = sets_of(t["text"].combine_chunks() if t["text"].num_chunks else pa.array([], pa.string()), words)
             sets, node = t["one"].to_numpy(), t["node"].to_numpy()
-            asked, label = t["asked"].to_numpy().astype(bool), t["label"].to_numpy()
+            turn, label = t["turn"].to_numpy(), t["label"].to_numpy()
             _, one = np.unique(sets, return_index=True)  # a hub stands in its own tile twice
             if len(one) < 2:
                 continue
             if len(one) < len(sets):
-                marked = set(sets[asked].tolist())
+                marked = dict(sorted(zip(sets.tolist(), turn.tolist(), strict=True), key=lambda x: x[1]))
                 starts = np.cumsum(sizes) - sizes
                 h = np.concatenate([h[starts[i] : starts[i] + sizes[i]] for i in one])
                 node, sizes, label = node[one], sizes[one], label[one]
-                asked = np.array([x in marked for x in sets[one].tolist()])
-            found = links_in(h, sizes, asked, label, percent)
+                turn = np.array([marked[x] for x in sets[one].tolist()])
+            found = links_in(h, sizes, turn, label, percent)
             if found:
                 a, b = np.array(found).T
                 yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
@@ -272,9 +272,8 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     members = tiles_of(sets, classes)
     texts = d.withColumnRenamed("doc_id", "node").join(members.hint("shuffle_hash"), ["node", "text_hash"])
     texts = written(texts.select("family", "tiles", "tile", "one", "node", "hub", "text"))
-    no = F.lit(False).alias("asked")
-    alone = texts.select("family", "tile", "one", "node", no, F.col("node").alias("label"), "text")
-    everywhere = texts.where("hub").select("family", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "one", "node", no, F.col("node").alias("label"), "text")
+    alone = texts.select("family", "tile", "one", "node", F.lit(0).alias("turn"), F.col("node").alias("label"), "text")
+    everywhere = texts.where("hub").select("family", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "one", "node", F.lit(1).alias("turn"), F.col("node").alias("label"), "text")
     links = written(linked(alone.unionByName(everywhere), words, percent))
 
     large = texts.where("tiles > 1")
@@ -289,11 +288,11 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         left = many.where("loose").groupBy("family").agg(F.count("*").alias("n"))
         left = left.select("family", F.ceil(F.col("n") / TILE_SETS).cast("int").alias("blocks"))
         pair = (F.col("tile") * F.col("blocks") + F.col("block")).alias("tile")
-        row = lambda asked: ["family", pair, "one", "node", F.lit(asked).alias("asked"), "label", "text"]
+        row = lambda turn: ["family", pair, "one", "node", F.lit(turn).alias("turn"), "label", "text"]
         asking = many.where("loose").join(left, "family").withColumn("block", F.pmod(F.xxhash64("one", F.lit(1)), F.col("blocks")).cast("int"))
         asking = asking.drop("tile").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         there = many.join(left, "family").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        links = written(links.unionByName(linked(asking.select(*row(True)).unionByName(there.select(*row(False))), words, percent)))
+        links = written(links.unionByName(linked(asking.select(*row(2)).unionByName(there.select(*row(0))), words, percent)))
 
     # an id with several texts joins their classes
     twice = own.groupBy("doc_id").agg(F.min("one").alias("low"), F.max("one").alias("high")).where("low < high").select("doc_id")
