@@ -197,6 +197,11 @@ def gone(spark_df):
     return {(r.doc_id if r.doc_id is not None else 2**63, p) for r in spark_df.collect() for p in r.dropped}
 
 
+def like(a, b):
+    a, b = shingle_sets(a), shingle_sets(b)
+    return len(a & b) * (1 + op6_lines.SIMILAR) >= op6_lines.SIMILAR * len(a) + op6_lines.SIMILAR * len(b)
+
+
 def test_lines_by_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     some = docs.select("doc_id", "text")
@@ -223,6 +228,28 @@ def test_near_lines_are_found(spark):
     assert near > 200 and len(found) >= 0.97 * near and all(i % 2 for i, _ in found)
 
 
+def test_near_lines_among_many_of_one_template(spark):
+    """Thousands of lines that share a template, unlike by a little, and near copies of some of them."""
+    import random
+
+    r = random.Random(8)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    template = [word(r.randrange(3, 9)) for _ in range(20)]
+    rows, near, unlike = [], set(), 0
+    for i in range(3000):
+        line = " ".join([*template[:10], word(7), word(9), *template[10:]])
+        at = len(line) - r.randrange(30, 60)
+        rows.append((2 * i, line, "s"))
+        unlike += i > 0 and not like(line, rows[0][1])
+        if i % 10 == 0:
+            copy = line[:at] + "#" + line[at + 1 :]
+            near |= {(2 * i + 1, 0)} if like(line, copy) else set()
+            rows.append((2 * i + 1, copy, "s"))
+    assert unlike == 2999 and len(near) == 300
+    found = gone(op6_lines.judged(docs_of(spark, rows)))
+    assert found <= near and len(found) >= 0.99 * len(near)
+
+
 def test_lines_of_awkward_rows(spark):
     long = "a line that is long enough to take part in this"
     more = [(40, f"{long}\nshort\n\n{long}", "a"), (41, f"{long}\nshort", "a"), (42, long, "a"), (None, long, "a"), (43, f"{long}!\n \n", None)]
