@@ -250,6 +250,29 @@ def test_near_lines_among_many_of_one_template(spark):
     assert found <= near and len(found) >= 0.99 * len(near)
 
 
+def test_lines_with_an_edit_or_two_are_found(spark):
+    """By runs of five characters, whatever the operator takes, at lengths of 20 to 200."""
+    import random
+
+    r = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+    five = lambda x: {x[i : i + 5] for i in range(len(x) - 4)}
+    rows, near = [], {1: set(), 2: set()}
+    for i in range(1200):
+        line = "x" + "".join(r.choice(letters) for _ in range(r.randrange(18, 199))) + "x"
+        edits, copy = 1 + i % 2, line
+        for _ in range(edits):
+            at = r.randrange(len(copy))
+            copy = copy[:at] + r.choice(("", "#", "#" + copy[at])) + copy[at + 1 :]
+        if len(copy) >= op6_lines.LEAST and 10 * len(five(line) & five(copy)) >= 8 * len(five(line) | five(copy)):
+            near[edits].add((2 * i + 1, 0))
+        rows += [(2 * i, line, "s"), (2 * i + 1, copy, "s")]
+    found = gone(op6_lines.judged(docs_of(spark, rows)))
+    assert len(near[1]) > 400 and len(near[2]) > 250
+    for some in near.values():
+        assert len(found & some) >= 0.97 * len(some), (len(found & some), len(some))
+
+
 def test_lines_of_awkward_rows(spark):
     long = "a line that is long enough to take part in this"
     more = [(40, f"{long}\nshort\n\n{long}", "a"), (41, f"{long}\nshort", "a"), (42, long, "a"), (None, long, "a"), (43, f"{long}!\n \n", None)]
