@@ -218,6 +218,21 @@ def test_licenses_of_awkward_rows(spark):
     assert op9_licenses.licenses(empty_docs(spark)).count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    import textwrap
+
+    marks = ("", "# ", "// ", " * ")
+    rows = []
+    for i, (_, t) in enumerate(op9_licenses.TEMPLATES):
+        rows += [(10 * i + k, f"{mark}x y z\n" + textwrap.fill(t, 72, initial_indent=mark, subsequent_indent=mark) + "\nint main", "a") for k, mark in enumerate(marks)]
+    got = {r.doc_id: r for r in op9_licenses.notices(docs_of(spark, rows)).collect()}
+    for i, (label, _) in enumerate(op9_licenses.TEMPLATES):
+        for k in range(len(marks)):
+            assert label in got[10 * i + k].labels.split(",") and got[10 * i + k].score == 1, got[10 * i + k]
+    assert {(r.labels, r.score) for r in op9_licenses.notices(awkward(spark)).collect()} == {("", 0.0)}
+    assert op9_licenses.notices(empty_docs(spark)).count() == 0
+
+
 CONVERSATIONS = "conv_id long, turn long, role string, text string, has int, ids string, chunk long"
 
 

@@ -8,6 +8,9 @@ words only, and of the pairs found go those whose block is too short (length), o
 word stands too far back in the template or in the block's own ordered words for c common ones
 (position).  What is left is verified by intersection.
 
+``licenses`` takes lines, as its SQL does, so it misses a long notice that is wrapped.  ``notices`` takes each
+run of words as long as a template, and a quarter more, over line ends and comment marks.
+
 Beside the join stands the base scan: the places where the words of a known phrase stand consecutively.
 
 Defined cases: null text is empty; an empty text or block has no words and meets nothing; rows alike
@@ -170,3 +173,50 @@ def licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, containment:
         F.array_join(labels, ",").alias("labels"),
         F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.col("m.best"), F.lit(0.0))).alias("score"),
     )
+
+
+def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, labels, score) for each row: the labels of the templates of which some run of words holds
+    ``containment``, and the highest containment, else 0.
+
+    A run begins at a word of the template; of the template's words in a text, in order, as many as the run
+    is long are looked at for each, so a text takes time by its length.
+    """
+    d = columns_of(docs, "doc_id", "text")
+    may = F.col("text").rlike("(?i)" + "|".join(sorted({w for _, t in templates for w in some_of(t, containment)})))
+    ws = F.when(may, F.array_remove(F.split(lower_ascii(F.col("text")), BETWEEN), "")).otherwise(F.array().cast("array<string>"))
+    d = d.select("doc_id", F.explode(F.array(F.coalesce(ws, F.array().cast("array<string>")))).alias("ws"))
+
+    def best(template: str) -> Column:
+        """The most distinct words of the template in a run, if enough, as a share of them."""
+        said = words(template)
+        own, length = sorted(set(said)), run_length(said)
+        at = F.transform("ws", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+        hits = F.filter(at, lambda x: x["w"].isin(own))
+
+        def held(all_hits: Column) -> Column:
+            def common(x: Column, k: Column) -> Column:
+                run = F.filter(F.slice(all_hits, k + 1, length), lambda y: y["i"] < x["i"] + length)
+                return F.size(F.array_distinct(F.transform(run, lambda y: y["w"])))
+
+            return F.array_max(F.transform(all_hits, common))
+
+        most = F.transform(F.array(hits), held)[0]  # as an element, the hits are made once
+        enough = F.size(F.array_intersect("ws", F.array(*map(F.lit, own)))) >= needed(len(own), containment)
+        return F.when(enough, F.when(most >= needed(len(own), containment), most / len(own)))
+
+    met = F.array_compact(F.array(*[F.struct(F.lit(label).alias("label"), best(t).alias("share")) for label, t in templates]))
+    d = d.select("doc_id", F.explode(F.array(F.filter(met, lambda x: x["share"].isNotNull()))).alias("met"))
+    labels = F.array_sort(F.array_distinct(F.transform("met", lambda x: x["label"])))
+    return d.select("doc_id", F.array_join(labels, ",").alias("labels"), F.coalesce(F.array_max(F.transform("met", lambda x: x["share"])), F.lit(0.0)).alias("score"))
+
+
+def some_of(template: str, containment: float) -> list[str]:
+    """So many words of a template, its longest, that what meets it holds one of them."""
+    own = sorted(set(words(template)), key=lambda w: (-len(w), w))
+    return own[: len(own) - needed(len(own), containment) + 1]
+
+
+def run_length(said: list[str]) -> int:
+    """How many words a run has in which a template's are looked for."""
+    return len(said) + len(said) // 4

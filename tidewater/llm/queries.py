@@ -53,6 +53,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices wherever they stand, wrapped or not; op9_license_scan has the lines alone, as its SQL."""
+    return op9_licenses.notices(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given conversations, and one (-7) of nothing but control strings."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -74,6 +79,7 @@ QUERIES = {
         op7_benchmark_hits,
         op8_exact_topk,
         op9_license_scan,
+        op9_license_notices,
         op10_chat_format,
     )
 }
