@@ -233,6 +233,18 @@ def test_wrapped_notices_are_found(spark):
     assert op9_licenses.notices(empty_docs(spark)).count() == 0
 
 
+def test_each_notice_gets_its_own_label_alone(spark):
+    nc = "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"
+    mozilla = "You may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/2.0"
+    lgpl = "This work is licensed under the GNU Lesser General Public License, version 3"
+    loose = "The library was released long ago, under a tree, and the others have no license to read it"
+    more = [("", "Released under the License"), ("", loose), ("", nc), ("", mozilla), ("", lgpl), ("bsd,mit", "Released under the MIT License.\nReleased under the BSD License.")]
+    given = [*op9_licenses.TEMPLATES, *more]
+    for around in ("{}", "before it\n{}.\nafter it"):
+        got = {r.doc_id: r.labels for r in op9_licenses.notices(docs_of(spark, [(i, around.format(t), "a") for i, (_, t) in enumerate(given)])).collect()}
+        assert [got[i] for i in range(len(given))] == [label for label, _ in given]
+
+
 CONVERSATIONS = "conv_id long, turn long, role string, text string, has int, ids string, chunk long"
 
 

@@ -9,7 +9,8 @@ word stands too far back in the template or in the block's own ordered words for
 (position).  What is left is verified by intersection.
 
 ``licenses`` takes lines, as its SQL does, so it misses a long notice that is wrapped.  ``notices`` takes each
-run of words as long as a template, and a quarter more, over line ends and comment marks.
+run of words as long as a template, and a quarter more, over line ends and comment marks; the words that
+tell licenses apart must be there, and templates of few words must be whole.
 
 Beside the join stands the base scan: the places where the words of a known phrase stand consecutively.
 
@@ -50,6 +51,12 @@ TEMPLATES = (
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
+#: What a run must hold besides, in ``notices``: the words that tell a license from others of like wording.
+TELLING = {"apache": {"apache"}, "bsd": {"bsd", "redistribution"}, "cc-by": {"cc", "attribution"}, "cc-by-nc": {"nc"}, "cc-by-sa": {"sa"}, "gpl": {"general"}, "mit": {"mit", "hereby"}, "mpl": {"mozilla"}}
+#: What makes it another license: cc-by isn't cc-by-nc written out.
+OTHERS = {"cc-by": ("noncommercial", "sharealike", "noderivatives", "noderivs"), "gpl": ("lesser", "affero")}
+#: Templates of fewer words must be held whole, in a run of their own length.
+SHORT = 12
 
 
 def words(text: str) -> list[str]:
@@ -187,25 +194,35 @@ def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     ws = F.when(may, F.array_remove(F.split(lower_ascii(F.col("text")), BETWEEN), "")).otherwise(F.array().cast("array<string>"))
     d = d.select("doc_id", F.explode(F.array(F.coalesce(ws, F.array().cast("array<string>")))).alias("ws"))
 
-    def best(template: str) -> Column:
+    def best(label: str, template: str) -> Column:
         """The most distinct words of the template in a run, if enough, as a share of them."""
         said = words(template)
         own, length = sorted(set(said)), run_length(said)
+        need = needed(len(own), containment) if len(own) >= SHORT else len(own)
+        telling, others = sorted(TELLING.get(label, set()) & set(own)), OTHERS.get(label, ())
         at = F.transform("ws", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-        hits = F.filter(at, lambda x: x["w"].isin(own))
+        hits = F.filter(at, lambda x: x["w"].isin([*own, *others]))
 
         def held(all_hits: Column) -> Column:
             def common(x: Column, k: Column) -> Column:
                 run = F.filter(F.slice(all_hits, k + 1, length), lambda y: y["i"] < x["i"] + length)
-                return F.size(F.array_distinct(F.transform(run, lambda y: y["w"])))
+                return F.transform(F.array(F.array_distinct(F.transform(run, lambda y: y["w"]))), told)[0]
+
+            def told(run: Column) -> Column:
+                ok = F.lit(True)
+                for w in telling:
+                    ok &= F.array_contains(run, w)
+                for w in others:
+                    ok &= ~F.array_contains(run, w)
+                return F.when(ok, F.size(run)).otherwise(0)
 
             return F.array_max(F.transform(all_hits, common))
 
         most = F.transform(F.array(hits), held)[0]  # as an element, the hits are made once
-        enough = F.size(F.array_intersect("ws", F.array(*map(F.lit, own)))) >= needed(len(own), containment)
-        return F.when(enough, F.when(most >= needed(len(own), containment), most / len(own)))
+        enough = F.size(F.array_intersect("ws", F.array(*map(F.lit, own)))) >= need
+        return F.when(enough, F.when(most >= need, most / len(own)))
 
-    met = F.array_compact(F.array(*[F.struct(F.lit(label).alias("label"), best(t).alias("share")) for label, t in templates]))
+    met = F.array_compact(F.array(*[F.struct(F.lit(label).alias("label"), best(label, t).alias("share")) for label, t in templates]))
     d = d.select("doc_id", F.explode(F.array(F.filter(met, lambda x: x["share"].isNotNull()))).alias("met"))
     labels = F.array_sort(F.array_distinct(F.transform("met", lambda x: x["label"])))
     return d.select("doc_id", F.array_join(labels, ",").alias("labels"), F.coalesce(F.array_max(F.transform("met", lambda x: x["share"])), F.lit(0.0)).alias("score"))
@@ -219,4 +236,4 @@ def some_of(template: str, containment: float) -> list[str]:
 
 def run_length(said: list[str]) -> int:
     """How many words a run has in which a template's are looked for."""
-    return len(said) + len(said) // 4
+    return len(said) + len(said) // 4 if len(set(said)) >= SHORT else len(said)
