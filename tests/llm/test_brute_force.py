@@ -106,6 +106,21 @@ def test_warc_records_by_another_reader(spark, tmp_path):
     assert sorted(found) == sorted(r.record_id for r in records.collect())
 
 
+def test_text_of_pages_with_left_out_tags():
+    head = "<title>T</title><meta name=a content=b><style>p{}</style><script>x()</script>"
+    pages = {
+        f"<html><head>{head}</head><body><p>one<p>two</body></html>": "one\ntwo",
+        f"<html><head>{head}<body><p>one<p>two": "one\ntwo",
+        f"<head lang=en>{head}<p>one<p>two": "one\ntwo",
+        f"{head}<ul><li>one<li>two": "one\ntwo",
+        "<head-nav>one</head-nav> <title-x>two</title-x> <script-x>three</script-x>": "one two three",
+        "<p>one<svg/>two <svg width=1 /> three<svg><title>T</title></svg>": "one two three",
+        "<head><title>T</title>\n</head>\n<header>one</header>": "one",
+    }
+    for page, text in pages.items():
+        assert op3_warc.visible_text(page) == text, page
+
+
 def test_warc_of_an_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert op3_warc.derive(op3_warc.responses_of(pages)).count() == 0

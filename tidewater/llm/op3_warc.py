@@ -37,14 +37,15 @@ END = "\r\n\r\n"
 RESPONSE = "record_id string, target_uri string, date string, block_digest string, payload_digest string, http string, payload string"
 RECORD = "refers_to string, record_id string, warc_type string, target_uri string, block_digest string, length long, links long, record string"
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.DOTALL | re.IGNORECASE)
-_BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>", re.IGNORECASE)
+#: Not <head>: its end tag may be left out, and what it may hold is hidden by itself.  A name ends at a blank, / or >.
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])[^>]*/>|<(?:(script|style|noscript|template|svg)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|title(?=[\s/>])[^>]*>(?:.*?</title\s*>)?)", re.DOTALL | re.IGNORECASE)
+_BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)(?=[\s/>])[^>]*>", re.IGNORECASE)
 _TAG = re.compile(r"</?[a-zA-Z!?][^>]*(?:>|\Z)")
 _BLANKS = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.DOTALL | re.IGNORECASE)
-_LINK = re.compile(r"<(a|area|img|link|script|iframe|form)\b([^>]*)>", re.IGNORECASE)
-_META = re.compile(r"<meta\b([^>]*)>", re.IGNORECASE)
+_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)(?:</title\s*>|\Z)", re.DOTALL | re.IGNORECASE)
+_LINK = re.compile(r"<(a|area|img|link|script|iframe|form)(?=[\s/>])([^>]*)>", re.IGNORECASE)
+_META = re.compile(r"<meta(?=[\s/>])([^>]*)>", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z:_-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _ADDRESS = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "form": "action"}
 
