@@ -310,6 +310,18 @@ SELECT coalesce(prior.table_name, new.table_name) AS table_name, coalesce(new.ma
 FROM prior FULL JOIN new ON prior.table_name = new.table_name"""
 
 ORACLE_SQL["full_transform"] = _with(_dims("corrected", 1), "SELECT * FROM C1")
+ORACLE_SQL["full_transform_all"] = _with(
+    _dims("corrected", 1)
+    + [
+        f"f_c AS ({oltp_customer(3, False)})",
+        f"f_a AS ({oltp_address(3)})",
+        f"f_p AS ({oltp_payment(3)})",
+        full_transform("F3", "f_c", "f_a", "f_p", 3),
+    ],
+    f"SELECT {DIM_COLS} FROM F3",
+)
+# whichever the cutoff, a table's mark ends at its largest value
+ORACLE_SQL["hwm_upsert_all"] = ORACLE_SQL["high_water_mark"]
 ORACLE_SQL["delta_transform_literal"] = _with(
     _dims("literal", 1) + [literal_temp("tmp2", "s_c2", "s_a2", "s_p2", "L1", 2)], "SELECT * FROM tmp2"
 )

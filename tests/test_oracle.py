@@ -47,6 +47,11 @@ def test_query_matches_oracle(spark, con, name):
     assert got == want
 
 
+def test_full_transform_reads_every_customer(spark, con):
+    got = sorted(r.id for r in E.queries()["full_transform_all"](spark, SF_SMALL).select("id").distinct().collect())
+    assert got == [k for (k,) in con.sql("SELECT c_custkey FROM customer ORDER BY 1").fetchall()]
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0

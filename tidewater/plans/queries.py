@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,6 +172,17 @@ def hwm_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_watermarks(prior, new)
 
 
+def hwm_upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks of whole tables: one from before a cutoff, raised by everything above it."""
+    columns = {"orders": "o_orderdate", "events": "ts", "lineitem": "l_shipdate"}
+    tables = {t: _t(spark, sf_dir, t) for t in columns}
+    cutoffs = {"orders": ORDERS_PRIOR_CUTOFF, "events": EVENTS_PRIOR_CUTOFF, "lineitem": ORDERS_PRIOR_CUTOFF}
+    below = lambda t: tables[t].where(F.col(columns[t]) < F.lit(cutoffs[t]).cast("timestamp_ntz"))
+    prior = materialize(reduce(DataFrame.unionByName, [high_water_mark(below(t), t, c) for t, c in columns.items()]))
+    above = {t: extract(tables[t], LoadPlan("delta"), watermark_value(prior, t), column=c) for t, c in columns.items()}
+    return upsert_watermarks(prior, reduce(DataFrame.unionByName, [high_water_mark(above[t], t, c) for t, c in columns.items()]))
+
+
 # --- transforms ---------------------------------------------------------------------------
 
 
@@ -178,6 +190,13 @@ def full_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Dimension(spark, sf_dir, "literal").temp(1)
 
 
+def full_transform_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full transform over day 3, when every customer is there."""
+    sc = Scenario(spark, sf_dir)
+    c, a, p = (extract(sc.oltp(t, 3), LoadPlan("full")) for t in Scenario.TABLES)
+    return transform.full_transform(c, a, p, run_of_day(3))
+
+
 def delta_transform_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Dimension(spark, sf_dir, "literal").temp(2)
 
@@ -467,7 +486,9 @@ QUERIES = {
     "extract_delta_ties": extract_delta_ties,
     "high_water_mark": high_water_mark_q,
     "hwm_upsert": hwm_upsert,
+    "hwm_upsert_all": hwm_upsert_all,
     "full_transform": full_transform,
+    "full_transform_all": full_transform_all,
     "delta_transform_literal": delta_transform_literal,
     "delta_transform_corrected": delta_transform_corrected,
     "latest_per_key": latest_per_key_q,
