@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions.scd import RunContext
 from tidewater.operators import scd2, transform
 from tidewater.schemas import CUSTOMER, CUSTOMER_ADDRESS, CUSTOMER_PAYMENT, CUSTOMER_SOFT_DELETE, DELETED_ENTRIES, DIMENSION
+from tidewater.session import materialize
 from tidewater.sources.csv_io import read_stage_csv, write_landing
 from tidewater.schemas import SAMPLE
 
@@ -137,6 +139,26 @@ def test_corrected_rerun_is_noop(spark):
     assert sorted(once.select(cols).collect()) == sorted(twice.select(cols).collect())
 
 
+@pytest.mark.parametrize("unions_zip", ["true", "false"])
+def test_merges_chain(spark, unions_zip):
+    """A merge of a merge of a merge, whether or not unions may keep their sides' partitioning."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", unions_zip)
+    try:
+        t = dim(spark, [(112, "J", "his1", "amex", D1, OPEN, "Y", T1), (113, "K", "x", "visa", D1, OPEN, "Y", T1)])
+        lit = cor = t
+        for hour, name in ((6, "Jay"), (7, "Jo"), (8, "Jo"), (9, "Ja")):
+            run = RunContext.at(dt.datetime(2024, 5, 2, hour))
+            c, a, p = stage(spark, customers=[(112, name)], addresses=[(124, 112, "his2")])
+            cor = scd2.merge_corrected(cor, c, a, p, run)
+            temp = materialize(transform.delta_transform_literal(c, a, p, lit, run))
+            lit = materialize(scd2.merge_literal(lit, temp, run))
+        assert current(cor) == [(112, "Ja", "his2", "amex"), (113, "K", "x", "visa")]
+        assert cor.count() == 5
+        assert (113, "K", "x", "visa") in current(lit)
+    finally:
+        spark.conf.unset("spark.sql.unionOutputPartitioning")
+
+
 def test_n15_csv_round_trip_keeps_quotes_empty_and_null(spark, tmp_path):
     df = spark.createDataFrame([(1, 'say "hi", x', 1.0), (2, "", 2.0), (3, None, 3.0)], SAMPLE)
     write_landing(df, str(tmp_path / "l"), fmt="csv")

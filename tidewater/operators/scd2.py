@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scd import CLOSED, CURRENT, RunContext, attribute_hash, close_when
 from ..schemas import DIMENSION_COLUMNS
+from ..session import materialize
 from .latest import latest_per_key
 from .transform import classify_corrected
 
@@ -105,7 +106,10 @@ def merge_literal_rows(
 
 
 def merge_literal(target: DataFrame, temp: DataFrame, run: RunContext, extra_close=None) -> DataFrame:
-    """The three statements in order over a whole dimension (see ``merge_literal_rows``)."""
+    """The three statements in order over a whole dimension (see ``merge_literal_rows``).
+
+    Target and temp are read several times each: write both (``session.materialize``) where they
+    come from an earlier merge, or the plan grows by that factor with each one."""
     current, history = split(target)
     return history.unionByName(merge_literal_rows(current, history, temp, run, extra_close))
 
@@ -154,9 +158,12 @@ def merge_corrected_rows(
     deleted_ids: DataFrame | None = None,
 ) -> DataFrame:
     """Corrected type-2 merge: every current row (closed where its id changed or was deleted)
-    plus the new versions.  Callers that run it at scale write the classification first
-    (``classify_corrected``, delta-sized) and call ``apply_corrected`` on the written table."""
-    cls = classify_corrected(customer, address, payment, current, history, run, deleted_ids)
+    plus the new versions.
+
+    The classification (delta-sized) is read twice, so it is written first.  That also ends its
+    lineage: a merge of a merge plans the earlier one's joins only once, and its union never
+    lines up sides whose partition numbers differ."""
+    cls = materialize(classify_corrected(customer, address, payment, current, history, run, deleted_ids))
     return apply_corrected(current, cls, run, deleted_ids)
 
 
