@@ -173,9 +173,9 @@ win AS (
   SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS said
   FROM i, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS u(s) WHERE len(w) > 0),
 lengths AS (SELECT DISTINCT n FROM win),
-places AS (
-  SELECT r, s, n, array_to_string(w[s : s + n - 1], ' ') AS said
-  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lengths WHERE len(w) >= n)),
+said_at AS (SELECT r, len(w) AS words, unnest(w) AS x, generate_subscripts(w, 1) AS s FROM d),
+ahead AS (SELECT r, words, s, [x, {", ".join(f"lead(x, {k}) OVER o" for k in range(1, 10))}] AS next FROM said_at WINDOW o AS (PARTITION BY r ORDER BY s)),
+places AS (SELECT r, s, n, array_to_string(next[1 : n], ' ') AS said FROM ahead, lengths WHERE s + n - 1 <= words),
 hits AS (SELECT r, s, p.n, item FROM places p JOIN win USING (n, said)),
 hit_words AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS k FROM hits) GROUP BY r),
 items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
