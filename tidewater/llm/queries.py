@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_mix, op2_urls, op3_warc, op4_jaccard, op5_toxicity, op6_lines, op7_decontaminate, op8_topk, op9_licenses, op10_chat
+from . import op1_mix, op2_urls, op3_warc, op4_jaccard, op5_toxicity, op6_lines, op7_decontaminate, op8_topk, op9_licenses, op10_chat, op12_tokens
 from .common import table
 
 
@@ -67,6 +67,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(conv, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_tokens.counted(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +85,7 @@ QUERIES = {
         op9_license_scan,
         op9_license_notices,
         op10_chat_format,
+        op12_token_counts,
     )
 }
 
