@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_mix, op2_urls, op3_warc, op4_jaccard, op5_toxicity, op6_lines, op7_decontaminate, op8_topk, op9_licenses, op10_chat, op12_tokens
+from . import op1_mix, op2_urls, op3_warc, op4_jaccard, op5_toxicity, op6_lines, op7_decontaminate, op8_topk, op9_licenses, op10_chat, op11_repair, op12_tokens, op13_runs
 from .common import table
 
 
@@ -67,10 +67,34 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(conv, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a rule; the repaired ones as their digest."""
+    rows, signed, audits = op11_repair.repair(op11_repair.damaged(table(spark, sf_dir, "conversations")))
+    both = signed.join(audits, ["has", "conv"]).join(op11_repair.repaired_digests(rows, audits), ["has", "conv"])
+    conv = F.when(F.col("has") == 1, F.col("conv")).alias("conv_id")
+    return both.select(conv, "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_tokens.counted(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, some with a tail that goes round; runs and collapsed text as their digests."""
+    found = op13_runs.detected(table(spark, sf_dir, "documents"), rewrite=op13_runs.repeated_tails)
+    best = found.withColumn("best", op13_runs.longest_for_its_period(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(op13_runs.written_out(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,7 +109,9 @@ QUERIES = {
         op9_license_scan,
         op9_license_notices,
         op10_chat_format,
+        op11_conversation_repair,
         op12_token_counts,
+        op13_periodic_runs,
     )
 }
 
@@ -253,6 +279,71 @@ FROM f GROUP BY conv_id
 """
 
 
+OP11 = r"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place
+  FROM conversations),
+crc AS (
+  SELECT place, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(place, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 20 AS h
+  FROM (SELECT DISTINCT place FROM given)),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS time
+  FROM given JOIN crc USING (place) WHERE h <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest) AS k
+  FROM (SELECT *, md5(length(role)::VARCHAR || ':' || role || text) AS digest FROM hurt)),
+judged AS (
+  SELECT conv_id, k, turn, role, text, left(role, 1) AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+              WHEN k > min(k) OVER (PARTITION BY conv_id, role, text) THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault
+  FROM placed),
+faults AS (
+  SELECT conv_id, max(k) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM judged) GROUP BY conv_id),
+-- From the last row to the first: the cheapest way on, in each state (nothing yet, after s, after u, after a).
+way(conv_id, k, w0, w1, w2, w3) AS (
+  SELECT conv_id, n + 1, {'c': 0::BIGINT, 'a': ''}, {'c': 10::BIGINT, 'a': 'II'}, {'c': 5::BIGINT, 'a': 'I'}, {'c': 0::BIGINT, 'a': ''} FROM faults
+  UNION ALL
+  SELECT conv_id, k, least(b0, {'c': b2.c + 5, 'a': 'I' || b2.a}, {'c': b3.c + 10, 'a': 'II' || b3.a}),
+         least(b1, {'c': b2.c + 5, 'a': 'I' || b2.a}, {'c': b3.c + 10, 'a': 'II' || b3.a}),
+         least(b2, {'c': b3.c + 5, 'a': 'I' || b3.a}), least(b3, {'c': b2.c + 5, 'a': 'I' || b2.a})
+  FROM (
+    SELECT way.conv_id, j.k,
+           least({'c': w0.c + 2, 'a': 'D' || w0.a}, {'c': w2.c + e + 1, 'a': 'R' || w2.a}, {'c': w1.c + e + ks, 'a': 'K' || w1.a}, {'c': w2.c + e + ku, 'a': 'K' || w2.a}) AS b0,
+           least({'c': w1.c + 2, 'a': 'D' || w1.a}, {'c': w2.c + e + 1, 'a': 'R' || w2.a}, {'c': w2.c + e + ku, 'a': 'K' || w2.a}) AS b1,
+           least({'c': w2.c + 2, 'a': 'D' || w2.a}, {'c': w3.c + e + 1, 'a': 'R' || w3.a}, {'c': w3.c + e + ka, 'a': 'K' || w3.a}) AS b2,
+           least({'c': w3.c + 2, 'a': 'D' || w3.a}, {'c': w2.c + e + 1, 'a': 'R' || w2.a}, {'c': w2.c + e + ku, 'a': 'K' || w2.a}) AS b3
+    FROM way JOIN (
+      SELECT conv_id, k, CASE fault WHEN '' THEN 0 WHEN 't' THEN 5 ELSE 1000000000 END AS e,
+             CASE initial WHEN 's' THEN 0 ELSE 1000000000 END AS ks, CASE initial WHEN 'u' THEN 0 ELSE 1000000000 END AS ku,
+             CASE initial WHEN 'a' THEN 0 ELSE 1000000000 END AS ka
+      FROM judged) j ON j.conv_id IS NOT DISTINCT FROM way.conv_id AND j.k = way.k - 1)),
+best AS (SELECT conv_id, w0.c AS cost, w0.a AS audit FROM way WHERE k = 1),
+edits AS (
+  SELECT conv_id, i, edit, count(*) FILTER (edit <> 'I') OVER o AS k, count(*) FILTER (edit <> 'D') OVER o AS place
+  FROM (SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS i FROM best WHERE audit <> '')
+  WINDOW o AS (PARTITION BY conv_id ORDER BY i)),
+made AS (
+  SELECT e.conv_id, edit, place, role, coalesce(CASE WHEN edit <> 'I' THEN text END, '') AS text,
+         max(CASE WHEN edit = 'K' AND place = 1 AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS s
+  FROM edits e LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.k = e.k WHERE edit <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY place) AS said
+  FROM made GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLE_SQL = {
     "op1_mix_sources": OP1,
     "op2_url_filters": OP2,
@@ -261,4 +352,5 @@ ORACLE_SQL = {
     "op8_exact_topk": OP8,
     "op9_license_scan": _op9(),
     "op10_chat_format": _op10(),
+    "op11_conversation_repair": OP11,
 }
