@@ -1,8 +1,7 @@
 """DuckDB oracle SQL for every registered query.
 
-Written independently of the Spark code: the literal merge is stated as the three
-sequential statements (UPDATE … FROM as an EXISTS flag, QUALIFY row_number, LEFT JOIN …
-IS NULL) and the corrected merge as per-source QUALIFY reductions.  Tables are the driver's
+Written independently of the Spark code: the literal merge is stated as rules on what the
+candidates offer each id, the corrected merge as per-source QUALIFY reductions.  Tables are the driver's
 views: region nation customer supplier part orders lineitem events ….
 """
 
@@ -121,22 +120,25 @@ def full_transform(name: str, c: str, a: str, p: str, d: int, skip_deleted: bool
 
 
 def literal_temp(name: str, c: str, a: str, p: str, tgt: str, d: int, skip_deleted: bool = False) -> str:
-    where = "WHERE c.deleted_at IS NULL" if skip_deleted else ""
-    return f"""{name} AS (
-  SELECT {_new_cols('c.id', d)}, c.id, c.name, ca.address, cp.payment_method,
-         {_rd(d)} AS etl_start_date, DATE '9999-12-31' AS etl_end_date, 'Y' AS etl_current_ind,
-         TIMESTAMP '{_run(d)}' AS etl_timestamp
-  FROM {c} c LEFT JOIN {a} ca ON c.id = ca.cust_id LEFT JOIN {p} cp ON c.id = cp.cust_id {where}
+    """Candidates: every staged customer with its children, and every different way in which the staged
+    values of an id replace those of its current row (as lists of what each source offers an id)."""
+    offers = " ".join(
+        f"LEFT JOIN (SELECT {key} AS id, list({v}) AS {v}s FROM {src} GROUP BY 1) USING (id)"
+        for src, key, v in ((c, "id", "name"), (a, "cust_id", "address"), (p, "cust_id", "payment_method"))
+    )
+    return full_transform(f"{name}_all", c, a, p, d, skip_deleted) + f""",
+{name}_offers AS (
+  SELECT id, name AS n0, address AS a0, payment_method AS p0, unnest(coalesce(names, [NULL])) AS n, addresss, payment_methods
+  FROM (SELECT id, name, address, payment_method FROM {tgt} WHERE etl_current_ind = 'Y') {offers}),
+{name}_ways AS (
+  SELECT id, n0, a0, p0, n, unnest(coalesce(addresss, [NULL])) AS a, payment_methods FROM {name}_offers),
+{name} AS (
+  SELECT * FROM {name}_all
   UNION ALL
-  SELECT DISTINCT {_new_cols('tgt.id', d)}, coalesce(c.id, tgt.id) AS id, coalesce(c.name, tgt.name) AS name,
-         coalesce(ca.address, tgt.address) AS address, coalesce(cp.payment_method, tgt.payment_method) AS payment_method,
-         {_rd(d)} AS etl_start_date, DATE '9999-12-31' AS etl_end_date, 'Y' AS etl_current_ind,
-         TIMESTAMP '{_run(d)}' AS etl_timestamp
-  FROM (SELECT * FROM {tgt} WHERE etl_current_ind = 'Y') tgt
-  LEFT JOIN {c} c ON tgt.id = c.id
-  LEFT JOIN {a} ca ON tgt.id = ca.cust_id
-  LEFT JOIN {p} cp ON tgt.id = cp.cust_id
-  WHERE ca.address IS NOT NULL OR cp.payment_method IS NOT NULL OR c.name IS NOT NULL)"""
+  SELECT DISTINCT {_new_cols('id', d)}, id, coalesce(n, n0), coalesce(a, a0), coalesce(p, p0),
+         {_rd(d)}, DATE '9999-12-31', 'Y', TIMESTAMP '{_run(d)}'
+  FROM (SELECT *, unnest(coalesce(payment_methods, [NULL])) AS p FROM {name}_ways)
+  WHERE coalesce(n, a, p) IS NOT NULL)"""
 
 
 def _apply_close(src: str, hit_sql: str, d: int) -> str:
@@ -148,37 +150,29 @@ def _apply_close(src: str, hit_sql: str, d: int) -> str:
 
 
 def literal_merge(prefix: str, tgt: str, temp: str, d: int, extra_close_ids: str | None = None) -> list[str]:
-    """CTEs {prefix}_t1 (closed), {prefix}_nv, {prefix}_t2, {prefix}_nk, {prefix} (final)."""
-    h = "md5({0}.name || {0}.address || {0}.payment_method)"
-    close = _apply_close(
-        tgt,
-        f"t.etl_current_ind = 'Y' AND EXISTS (SELECT 1 FROM {temp} s WHERE s.id = t.id AND {h.format('t')} <> {h.format('s')})",
-        d,
-    )
-    ctes = [f"{prefix}_t1 AS ({close})"]
-    t1 = f"{prefix}_t1"
+    """Rules per id, as CTEs {prefix}_t1 (what is closed), {prefix}_nv and {prefix}_nk (what is added),
+    {prefix} (all).  ``said`` is what an id's attributes say together, NULL if one is missing:
+
+    * a current row is closed if the candidates offer its id anything that says something else;
+    * a candidate is a new version if it says something else than the last closed row of its id;
+    * a candidate is a new key if its id isn't in the dimension."""
+    said = "(name || address || payment_method)"
+    offered = f"""(SELECT x.*, offered FROM {tgt} x LEFT JOIN (
+      SELECT id, list(DISTINCT {said}) FILTER ({said} IS NOT NULL) AS offered FROM {temp} GROUP BY id) o ON o.id = x.id)"""
+    differs = f"t.etl_current_ind = 'Y' AND len(list_filter(t.offered, lambda o: o <> {said})) > 0"
+    closed = f"{prefix}_t1"
+    ctes = [f"{closed} AS ({_apply_close(offered, differs, d)})"]
     if extra_close_ids is not None:
-        ctes.append(
-            f"{prefix}_t1x AS ({_apply_close(t1, f'''t.etl_current_ind = 'Y' AND EXISTS (SELECT 1 FROM ({extra_close_ids}) x WHERE x.id = t.id)''', d)})"
-        )
-        t1 = f"{prefix}_t1x"
-    cols = "src.etl_key, src.id, src.name, src.address, src.payment_method, src.etl_start_date, src.etl_end_date, src.etl_current_ind"
-    ctes.append(
-        f"""{prefix}_nv AS (
-  SELECT {cols}, TIMESTAMP '{_run(d)}' AS etl_timestamp
-  FROM {temp} src
-  JOIN (SELECT * FROM {t1} WHERE etl_current_ind = 'N'
-        QUALIFY row_number() OVER (PARTITION BY id ORDER BY etl_timestamp DESC, etl_start_date DESC, etl_key DESC) = 1) tgt
-    ON src.id = tgt.id
-  WHERE {h.format('tgt')} <> {h.format('src')})"""
-    )
-    ctes.append(f"{prefix}_t2 AS (SELECT * FROM {t1} UNION ALL SELECT * FROM {prefix}_nv)")
-    ctes.append(
-        f"""{prefix}_nk AS (
-  SELECT {cols}, TIMESTAMP '{_run(d)}' AS etl_timestamp
-  FROM {temp} src LEFT JOIN {prefix}_t2 tgt ON src.id = tgt.id WHERE tgt.id IS NULL)"""
-    )
-    ctes.append(f"{prefix} AS (SELECT * FROM {prefix}_t2 UNION ALL SELECT * FROM {prefix}_nk)")
+        named = f"t.etl_current_ind = 'Y' AND t.id IN ({extra_close_ids})"
+        ctes.append(f"{prefix}_t1x AS ({_apply_close(closed, named, d)})")
+        closed = f"{prefix}_t1x"
+    added = f"* REPLACE (TIMESTAMP '{_run(d)}' AS etl_timestamp)"
+    ctes.append(f"""{prefix}_last AS (
+  SELECT id, arg_max({{'said': {said}}}, (etl_timestamp, etl_start_date, etl_key)).said AS last
+  FROM {closed} WHERE etl_current_ind = 'N' GROUP BY id)""")
+    ctes.append(f"{prefix}_nv AS (SELECT {added} FROM {temp} WHERE {said} <> (SELECT last FROM {prefix}_last l WHERE l.id = {temp}.id))")
+    ctes.append(f"{prefix}_nk AS (SELECT {added} FROM {temp} WHERE id NOT IN (SELECT id FROM {tgt}))")
+    ctes.append(f"{prefix} AS (FROM {closed} UNION ALL FROM {prefix}_nv UNION ALL FROM {prefix}_nk)")
     return ctes
 
 
@@ -295,21 +289,10 @@ UNION ALL SELECT 'events', max(ts) FROM events
 UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem"""
 
 ORACLE_SQL["hwm_upsert"] = """
-WITH prior AS (
-  SELECT 'orders' AS table_name, max(o_orderdate) AS max_updated FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'
-  UNION ALL SELECT 'events', max(ts) FROM events WHERE event_type = 'view'
-  UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem WHERE l_linestatus = 'F'
-  UNION ALL SELECT 'events_purchase', max(ts) FROM events WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-16 00:00:00'),
-new AS (
-  SELECT 'orders' AS table_name, max(o_orderdate) AS max_updated FROM orders
-    WHERE o_orderdate > (SELECT max_updated FROM prior WHERE table_name = 'orders')
-  UNION ALL SELECT 'events', max(ts) FROM events WHERE ts > (SELECT max_updated FROM prior WHERE table_name = 'events')
-  UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem
-    WHERE l_shipdate > (SELECT max_updated FROM prior WHERE table_name = 'lineitem') AND l_linestatus = 'F')
-SELECT coalesce(prior.table_name, new.table_name) AS table_name, coalesce(new.max_updated, prior.max_updated) AS max_updated
-FROM prior FULL JOIN new ON prior.table_name = new.table_name"""
-
-ORACLE_SQL["full_transform"] = _with(_dims("corrected", 1), "SELECT * FROM C1")
+SELECT 'orders' AS table_name, max(o_orderdate) AS max_updated FROM orders
+UNION ALL SELECT 'events', max(ts) FROM events
+UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-01-01 00:00:00'"""
+
 ORACLE_SQL["full_transform_all"] = _with(
     _dims("corrected", 1)
     + [
@@ -320,6 +303,7 @@ ORACLE_SQL["full_transform_all"] = _with(
     ],
     f"SELECT {DIM_COLS} FROM F3",
 )
+ORACLE_SQL["full_transform"] = ORACLE_SQL["full_transform_all"]
 # whichever the cutoff, a table's mark ends at its largest value
 ORACLE_SQL["hwm_upsert_all"] = ORACLE_SQL["high_water_mark"]
 ORACLE_SQL["delta_transform_literal"] = _with(
@@ -464,3 +448,35 @@ ORACLE_SQL["file_arrival_gated"] = """
 SELECT s_suppkey::INTEGER AS id, s_name AS name,
        CASE WHEN s_nationkey % 5 <> 0 THEN 'load_target' ELSE 'notify' END AS route
 FROM supplier"""
+
+ORACLE_SQL["as_of_pruned"] = ORACLE_SQL["scd2_as_of"]
+
+# Every child is there on day 1; customers k % 20 = 0 come on day 2, as do some new names.
+ORACLE_SQL["late_parent"] = f"""
+WITH {BASE},
+v AS (
+  SELECT k AS id, c_name AS name, n_name AS address, c_mktsegment AS payment_method,
+         CASE WHEN k % 20 = 0 THEN 2 ELSE 1 END AS first,
+         CASE WHEN k % 20 = 0 THEN NULL WHEN k % 29 = 0 THEN c_name || ' III' WHEN k % 23 = 0 THEN c_name || ' II' END AS later
+  FROM b),
+d AS (
+  SELECT id, name, address, payment_method, first, later IS NOT NULL AS over FROM v
+  UNION ALL SELECT id, later, address, payment_method, 2, FALSE FROM v WHERE later IS NOT NULL)
+SELECT id, name, address, payment_method, make_date(2024, 1, first) AS etl_start_date,
+       CASE WHEN over THEN {_rd(1)} ELSE DATE '9999-12-31' END AS etl_end_date, CASE WHEN over THEN 'N' ELSE 'Y' END AS etl_current_ind
+FROM d"""
+
+_TWO = f"""{BASE},
+a AS (SELECT k, n_name AS v, k % 3 AS h, 1 AS r FROM b UNION ALL SELECT k, n_name || ' annex', 1, 2 FROM b),
+p AS (SELECT k, c_mktsegment AS v, k % 2 AS h, 1 AS r FROM b UNION ALL SELECT k, 'CASH', 0, 2 FROM b)"""
+
+ORACLE_SQL["children_fanout_literal"] = f"""
+WITH {_TWO}
+SELECT b.k AS id, c_name AS name, a.v AS address, p.v AS payment_method FROM b JOIN a ON a.k = b.k JOIN p ON p.k = b.k"""
+
+ORACLE_SQL["children_reduced_corrected"] = f"""
+WITH {_TWO}
+SELECT k AS id, c_name AS name, (SELECT arg_max(v, (h, r)) FROM a WHERE a.k = b.k) AS address,
+       (SELECT arg_max(v, (h, r)) FROM p WHERE p.k = b.k) AS payment_method FROM b"""
+
+ORACLE_SQL["deleted_entries_delta"] = _with([BASE, DELETED_ENTRIES], "SELECT id, table_name, table_id, created_at, updated_at FROM de")

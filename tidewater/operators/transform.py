@@ -182,9 +182,11 @@ def classify_corrected(
     * new attributes: ``coalesce(staged, latest stored version)``;
     * ``_insert``: candidate that is new, re-opened, or differs from its current row
       (IS DISTINCT FROM, column by column);
-    * ``_close``: the id has a current row and is inserted or deleted.
+    * ``_close``: the id has a current row and is inserted or deleted;
+    * ``_orphan``: the id has staged children, but is neither staged, current nor deleted: its
+      children have nothing to go to yet (``orphans``).
 
-    Columns: id, ``_new`` (the would-be new version as a struct), ``_insert``, ``_close``.
+    Columns: id, ``_new`` (the would-be new version as a struct), ``_insert``, ``_close``, ``_orphan``.
     """
     staged = reduce_staged(customer, address, payment)
     ids = staged.select("id")
@@ -211,9 +213,31 @@ def classify_corrected(
         F.struct(*new_version_columns(F.col("id"), name, address_, payment_, run)).alias("_new"),
         insert.alias("_insert"),
         (has_cur & (insert | gone)).alias("_close"),
+        (~staged_key & ~gone).alias("_orphan"),
     )
 
 
+def orphans(classified: DataFrame, address: DataFrame, payment: DataFrame) -> DataFrame:
+    """The latest staged row of each child table for every id without a customer (``PENDING``).
+
+    A later run adds them to its stage (``with_pending``); one row for each id and table is kept,
+    so that they grow with the missing customers only."""
+    ids = classified.where("_orphan").select(F.col("id").alias("cust_id"))
+    both = [
+        child.select(F.lit(name).alias("table_name"), "id", "cust_id", F.col(value).alias("value"), "created_at", "updated_at")
+        for name, child, value in (("customer_address", address, "address"), ("customer_payment", payment, "payment_method"))
+    ]
+    waiting = both[0].unionByName(both[1]).join(ids, "cust_id", "left_semi")
+    row = F.struct("updated_at", "id", "created_at", "value")
+    return waiting.groupBy("table_name", "cust_id").agg(F.max(row).alias("r")).select("table_name", "r.id", "cust_id", "r.value", "r.created_at", "r.updated_at")
+
+
+def with_pending(child: DataFrame, table: str, value: str, pending: DataFrame) -> DataFrame:
+    """A child table's stage with the rows that wait for their customer; the latest row still wins."""
+    waiting = pending.where(F.col("table_name") == table).select("id", "cust_id", F.col("value").alias(value), "created_at", "updated_at")
+    return child.select("id", "cust_id", value, "created_at", "updated_at").unionByName(waiting)
+
+
 def delta_transform_corrected(
     customer: DataFrame,
     address: DataFrame,
@@ -228,10 +252,14 @@ def delta_transform_corrected(
     return cls.where("_insert").select("_new.*")
 
 
+def classify_full(customer: DataFrame, address: DataFrame, payment: DataFrame, run: RunContext) -> DataFrame:
+    """``classify_corrected`` against an empty dimension."""
+    empty = customer.sparkSession.createDataFrame([], DIMENSION)
+    return classify_corrected(customer, address, payment, empty, empty, run)
+
+
 def full_transform_corrected(
     customer: DataFrame, address: DataFrame, payment: DataFrame, run: RunContext
 ) -> DataFrame:
     """Corrected full load: one version per staged customer, children reduced to their latest row."""
-    spark = customer.sparkSession
-    empty = spark.createDataFrame([], DIMENSION)
-    return classify_corrected(customer, address, payment, empty, empty, run).where("_insert").select("_new.*")
+    return classify_full(customer, address, payment, run).where("_insert").select("_new.*")

@@ -149,6 +149,39 @@ def deleted_entries(b: DataFrame) -> DataFrame:
     return cust.unionByName(pay).select("*", day_ts(3).alias("created_at"), day_ts(3).alias("updated_at"))
 
 
+def delete_log(b: DataFrame) -> DataFrame:
+    """``deleted_entries`` with an older entry for each customer of an earlier day."""
+    log = b.select(F.col("k").alias("id"), F.lit("orders").alias("table_name"), F.col("k").alias("table_id"))
+    older = log.select("*", day_ts(2).alias("created_at"), day_ts(2).alias("updated_at"))
+    return older.unionByName(deleted_entries(b))
+
+
+def early_children(b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """An address and a payment for every customer on day 1, also for those who come on day 2."""
+    times = [day_ts(1).alias("created_at"), day_ts(1).alias("updated_at")]
+    owner = F.col("k").alias("cust_id")
+    address = b.select((F.col("k") + ADDRESS_ID_OFFSET).alias("id"), owner, F.col("n_name").alias("address"), *times)
+    payment = b.select((F.col("k") + PAYMENT_ID_OFFSET).alias("id"), owner, F.col("c_mktsegment").alias("payment_method"), *times)
+    return address, payment
+
+
+def two_children(b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two addresses and two payments for every customer: the first at k % 3 (k % 2) o'clock, the second at
+    one (midnight), so that some tie and the row id decides."""
+    k = F.col("k")
+
+    def rows(value: str, *children: tuple[Column, Column]) -> DataFrame:
+        out = None
+        for i, (said, hour) in enumerate(children):
+            at = day_ts(1) + F.make_dt_interval(F.lit(0), hour.cast("int"))
+            one = b.select((2 * k + i).alias("id"), k.alias("cust_id"), said.alias(value), at.alias("created_at"), at.alias("updated_at"))
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    address = rows("address", (F.col("n_name"), k % 3), (F.concat("n_name", F.lit(" annex")), F.lit(1)))
+    return address, rows("payment_method", (F.col("c_mktsegment"), k % 2), (F.lit("CASH"), F.lit(0)))
+
+
 class Scenario:
     """Day-by-day stages of the customer sync over one test-data directory.
 

@@ -8,8 +8,11 @@ Per run:
    load the stage table from the landing files;
 3. compute the new marks from the stages (one job for all tables; NULL keeps the old mark);
 4. full load: build the dimension from the stages and replace it (with a backup);
-   delta load: merge the stages into the dimension (corrected or literal mode);
-5. commit data, then marks (the marks never run ahead of the data).
+   delta load: merge the stages into the dimension (corrected or literal mode), reading and
+   writing only the buckets that hold the delta's ids; a child row without a customer waits in
+   the store and joins the stages of later runs (corrected mode);
+5. commit data and marks at once (the marks never run ahead of the data); if another writer
+   committed into the same buckets meanwhile, steps 4 and 5 are done again on its state.
 """
 
 from __future__ import annotations
@@ -21,14 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scd import RunContext
 from ..operators import scd2, transform
-from ..operators.watermark import high_water_mark, resolve_load, upsert_watermarks, watermark_value
+from ..operators.watermark import LoadPlan, high_water_mark, resolve_load, upsert_watermarks, watermark_value
 from ..schemas import SOURCE_SCHEMAS
 from ..session import materialize
 from ..sources.csv_io import read_stage_csv, write_landing, write_stage
 from ..sources.extract import SOURCE_COLUMNS, extract
-from ..sources.table_store import Commit, DimensionStore
+from ..sources.table_store import Commit, CommitConflict, DimensionStore
 
 TABLES = ("customer", "customer_address", "customer_payment")
+#: How often a merge is tried when other writers commit into its buckets meanwhile.
+ATTEMPTS = 5
 
 
 @dataclass(frozen=True)
@@ -96,29 +101,57 @@ def customer_pipeline(
         new_marks = m if new_marks is None else new_marks.unionByName(m)
     merged_marks = materialize(upsert_watermarks(marks, new_marks))
 
+    deleted_log = staged.get("deleted_entries")
+    for attempt in range(1, ATTEMPTS + 1):
+        try:
+            commit = _merge(spark, store, plan, staged, deleted_log, merged_marks, run, mode, deletes)
+            return RunResult(commit, plan.load_type)
+        except CommitConflict:
+            if attempt == ATTEMPTS:
+                raise
+            store.refresh()  # merge the same stages again, into what the other writer left
+
+
+def _merge(
+    spark: SparkSession,
+    store: DimensionStore,
+    plan: LoadPlan,
+    staged: Mapping[str, DataFrame],
+    deleted_log: DataFrame | None,
+    marks: DataFrame,
+    run: RunContext,
+    mode: str,
+    deletes: str | None,
+) -> Commit:
+    """Steps 4 and 5 from the store's last state: a delta reads and writes the buckets of its ids only."""
     c, a, p = (staged[t] for t in TABLES)
-    run_id = store.next_run()
     if plan.is_full:
         if mode == "literal":
-            temp = transform.full_transform(c, a, p, run, skip_deleted=deletes == "soft")
-        else:
-            temp = transform.full_transform_corrected(c, a, p, run)
-        commit = store.commit_full(run_id, temp, merged_marks)
+            return store.commit_full(transform.full_transform(c, a, p, run, skip_deleted=deletes == "soft"), marks)
+        cls = materialize(transform.classify_full(c, a, p, run))
+        return store.commit_full(cls.where("_insert").select("_new.*"), marks, transform.orphans(cls, a, p))
+    if mode == "literal":
+        deleted = scd2.hard_delete_ids_literal(deleted_log, c) if deletes == "hard" else None
     else:
-        current, history = store.current(), store.history()
-        if mode == "literal":
-            target = history.unionByName(current)
-            temp = materialize(transform.delta_transform_literal(c, a, p, target, run, skip_deleted=deletes == "soft"))
-            extra = None
-            if deletes == "soft":
-                extra = scd2.soft_delete_close(c, run)
-            elif deletes == "hard":
-                extra = scd2.hard_delete_close(scd2.hard_delete_ids_literal(staged["deleted_entries"], c), run)
-            rows = scd2.merge_literal_rows(current, history, temp, run, extra)
-        else:
-            deleted = scd2.hard_delete_ids(staged["deleted_entries"]) if deletes == "hard" else None
-            # The classification is delta-sized and read twice: write it once (the "temp" table).
-            cls = materialize(transform.classify_corrected(c, a, p, current, history, run, deleted))
-            rows = scd2.apply_corrected(current, cls, run, deleted)
-        commit = store.commit_delta(run_id, rows, merged_marks)
-    return RunResult(commit, plan.load_type)
+        deleted = scd2.hard_delete_ids(deleted_log) if deletes == "hard" else None
+        waiting = store.pending()
+        a = transform.with_pending(a, "customer_address", "address", waiting)
+        p = transform.with_pending(p, "customer_payment", "payment_method", waiting)
+    ids = transform.staged_keys(c, a, p)
+    buckets = store.buckets_of(ids if deleted is None else ids.unionByName(deleted.select("id")))
+    current, history = store.current(buckets), store.history(buckets)
+    if mode == "literal":
+        target = history.unionByName(current)
+        temp = materialize(transform.delta_transform_literal(c, a, p, target, run, skip_deleted=deletes == "soft"))
+        extra = None
+        if deletes == "soft":
+            extra = scd2.soft_delete_close(c, run)
+        elif deletes == "hard":
+            extra = scd2.hard_delete_close(deleted, run)
+        return store.commit_delta(scd2.merge_literal_rows(current, history, temp, run, extra), marks, buckets)
+    # The classification is delta-sized and read several times: write it once (the "temp" table).
+    cls = materialize(transform.classify_corrected(c, a, p, current, history, run, deleted))
+    changed = cls.where("_close or _insert").select("id")
+    touched = store.buckets_of(changed if deleted is None else changed.unionByName(deleted.select("id")))
+    rows = scd2.apply_corrected(store.current(touched), cls, run, deleted)
+    return store.commit_delta(rows, marks, touched, transform.orphans(cls, a, p))

@@ -28,10 +28,12 @@ from ..session import checkpoint_dir, materialize
 from ..sources.csv_io import read_stage_csv, write_landing
 from ..sources.extract import SOURCE_COLUMNS, extract
 from ..sources.inline import day_activity
-from .fixtures import Scenario, run_of_day
+from ..sources.table_store import DimensionStore
+from .fixtures import Scenario, day_ts, delete_log, early_children, run_of_day, two_children
 from ..streaming.file_ingest import run_file_ingest
 from .ingest import csv_ingest, gated_ingest
 from .ingest import gated_append as _gated_append
+from .pipeline import customer_pipeline
 
 AS_OF_DAY = dt.date(2024, 1, 2)
 EVENTS_PRIOR_CUTOFF = "2024-01-16 00:00:00"
@@ -138,36 +140,17 @@ def high_water_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hwm_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Control table after a second run: two marks advance, one delta is empty, one table is not in the run."""
+    """Control table after a second run: one mark advances, one delta is empty, one table isn't in the run."""
     orders, events, lineitem = (_t(spark, sf_dir, n) for n in ("orders", "events", "lineitem"))
-    prior = (
-        high_water_mark(
-            orders.where(F.col("o_orderdate") < F.lit(ORDERS_PRIOR_CUTOFF).cast("timestamp_ntz")), "orders", "o_orderdate"
-        )
-        .unionByName(high_water_mark(events.where(F.col("event_type") == "view"), "events", "ts"))
-        .unionByName(high_water_mark(lineitem.where(F.col("l_linestatus") == "F"), "lineitem", "l_shipdate"))
-        .unionByName(
-            high_water_mark(
-                events.where((F.col("event_type") == "purchase") & (F.col("ts") < F.lit(EVENTS_PRIOR_CUTOFF).cast("timestamp_ntz"))),
-                "events_purchase",
-                "ts",
-            )
-        )
+    cutoff = F.lit(ORDERS_PRIOR_CUTOFF).cast("timestamp_ntz")
+    prior = materialize(
+        high_water_mark(orders.where(F.col("o_orderdate") < cutoff), "orders", "o_orderdate")
+        .unionByName(high_water_mark(events, "events", "ts"))
+        .unionByName(high_water_mark(lineitem.where(F.col("l_shipdate") < cutoff), "lineitem", "l_shipdate"))
     )
-    prior = materialize(prior)
     delta = LoadPlan("delta")
-    new = (
-        high_water_mark(extract(orders, delta, watermark_value(prior, "orders"), column="o_orderdate"), "orders", "o_orderdate")
-        .unionByName(high_water_mark(extract(events, delta, watermark_value(prior, "events"), column="ts"), "events", "ts"))
-        .unionByName(
-            high_water_mark(
-                extract(lineitem, delta, watermark_value(prior, "lineitem"), column="l_shipdate").where(
-                    F.col("l_linestatus") == "F"
-                ),
-                "lineitem",
-                "l_shipdate",
-            )
-        )
+    new = high_water_mark(extract(orders, delta, watermark_value(prior, "orders"), column="o_orderdate"), "orders", "o_orderdate").unionByName(
+        high_water_mark(extract(events, delta, watermark_value(prior, "events"), column="ts"), "events", "ts")
     )
     return upsert_watermarks(prior, new)
 
@@ -187,10 +170,6 @@ def hwm_upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Dimension(spark, sf_dir, "literal").temp(1)
-
-
-def full_transform_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full transform over day 3, when every customer is there."""
     sc = Scenario(spark, sf_dir)
     c, a, p = (extract(sc.oltp(t, 3), LoadPlan("full")) for t in Scenario.TABLES)
@@ -253,7 +232,7 @@ def full_load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     backup = dim.input(2)
     sc = dim.sc
     c, a, p = (extract(sc.oltp(t, 3), LoadPlan("full")) for t in Scenario.TABLES)
-    refreshed = scd2.full_refresh(transform.full_transform(c, a, p, run_of_day(3)))
+    refreshed = scd2.full_refresh(transform.full_transform_corrected(c, a, p, run_of_day(3)))
     return refreshed.withColumn("generation", F.lit("current")).unionByName(
         backup.withColumn("generation", F.lit("backup"))
     )
@@ -308,29 +287,70 @@ def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the pipeline end to end ---------------------------------------------------------------
 
 
-def _pipeline(spark: SparkSession, sf_dir: str, mode: str, landing: str) -> DataFrame:
+def _pipeline(spark: SparkSession, sf_dir: str, mode: str, landing: str) -> DimensionStore:
     """Three daily runs of the customer pipeline into a fresh store under the checkpoint
-    directory; returns the stored dimension.  Each run extracts above the stored marks."""
-    import uuid
-
-    from ..session import checkpoint_dir
-    from ..sources.table_store import DimensionStore
-    from .pipeline import customer_pipeline
-
-    store = DimensionStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/tidewater-store/{uuid.uuid4().hex}")
+    directory.  Each run extracts above the stored marks."""
+    store = DimensionStore(spark, _scratch(spark, "tidewater-store"))
     sc = Scenario(spark, sf_dir)
     for d in (1, 2, 3):
         sources = {t: sc.oltp(t, d) for t in Scenario.TABLES}
         customer_pipeline(spark, store, sources, "full" if d == 1 else "delta", run_of_day(d), mode=mode, landing_format=landing)
-    return store.dimension()
+    return store
 
 
 def pipeline_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pipeline(spark, sf_dir, "corrected", "parquet")
+    return _pipeline(spark, sf_dir, "corrected", "parquet").dimension()
 
 
 def pipeline_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pipeline(spark, sf_dir, "literal", "csv")
+    return _pipeline(spark, sf_dir, "literal", "csv").dimension()
+
+
+def as_of_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension on a past day, from the store's files that span it."""
+    rows = _pipeline(spark, sf_dir, "corrected", "parquet").as_of(AS_OF_DAY)
+    return rows.select("id", "name", "address", "payment_method", "etl_start_date", "etl_end_date")
+
+
+def late_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's address and payment arrive on day 1, some customers only on day 2: their
+    children wait in the store for them."""
+    store = DimensionStore(spark, _scratch(spark, "tidewater-store"))
+    sc = Scenario(spark, sf_dir)
+    address, payment = early_children(sc.base)
+    for d in (1, 2):
+        sources = {"customer": sc.oltp("customer", d), "customer_address": address, "customer_payment": payment}
+        customer_pipeline(spark, store, sources, "full" if d == 1 else "delta", run_of_day(d))
+    return store.dimension().select("id", "name", "address", "payment_method", "etl_start_date", "etl_end_date", "etl_current_ind")
+
+
+# --- several child rows a customer, deleted entries ---------------------------------------
+
+
+def _customers(sc: Scenario) -> DataFrame:
+    times = [day_ts(1).alias("created_at"), day_ts(1).alias("updated_at")]
+    return sc.base.select(F.col("k").alias("id"), F.col("c_name").alias("name"), *times)
+
+
+def children_fanout_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two addresses and two payments for every customer: the literal transform joins each with each."""
+    sc = Scenario(spark, sf_dir)
+    out = transform.full_transform(_customers(sc), *two_children(sc.base), run_of_day(1))
+    return out.select("id", "name", "address", "payment_method")
+
+
+def children_reduced_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stages in corrected mode: one version a customer, with the latest row of each child."""
+    sc = Scenario(spark, sf_dir)
+    out = transform.full_transform_corrected(_customers(sc), *two_children(sc.base), run_of_day(1))
+    return out.select("id", "name", "address", "payment_method")
+
+
+def deleted_entries_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deleted entries above the mark of an earlier load of the log."""
+    log = delete_log(Scenario(spark, sf_dir).base)
+    hwm = high_water_mark(log.where(F.col("updated_at") <= day_ts(2)), "deleted_entries").first()["max_updated"]
+    return extract(log, LoadPlan("delta"), hwm, SOURCE_COLUMNS["deleted_entries"])
 
 
 # --- data quality and ingest --------------------------------------------------------------
@@ -488,7 +508,7 @@ QUERIES = {
     "hwm_upsert": hwm_upsert,
     "hwm_upsert_all": hwm_upsert_all,
     "full_transform": full_transform,
-    "full_transform_all": full_transform_all,
+    "full_transform_all": full_transform,
     "delta_transform_literal": delta_transform_literal,
     "delta_transform_corrected": delta_transform_corrected,
     "latest_per_key": latest_per_key_q,
@@ -519,4 +539,9 @@ QUERIES = {
     "csv_landing_roundtrip": csv_landing_roundtrip,
     "extract_overlap": extract_overlap,
     "weekend_split": weekend_split,
+    "as_of_pruned": as_of_pruned,
+    "late_parent": late_parent,
+    "children_fanout_literal": children_fanout_literal,
+    "children_reduced_corrected": children_reduced_corrected,
+    "deleted_entries_delta": deleted_entries_delta,
 }

@@ -78,6 +78,18 @@ DIMENSION_COLUMNS = [f.name for f in DIMENSION.fields]
 # High-water-mark control table.
 WATERMARK = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("max_updated", _TS)])
 
+# Child rows that wait for their customer: a row of customer_address or customer_payment.
+PENDING = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("id", T.LongType()),
+        T.StructField("cust_id", T.LongType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("created_at", _TS),
+        T.StructField("updated_at", _TS),
+    ]
+)
+
 # CSV sample ingest (types assumed: the reference has no DDL for it).
 SAMPLE = T.StructType(
     [
