@@ -48,7 +48,7 @@ LIMIT = 512
 #: Characters that one call of the tokenizer takes.
 BATCH_CHARS = 1 << 19
 #: Remembered words of at most so many characters.
-WORDS = 1 << 18
+WORDS = 1 << 20
 WORD_CHARS = 64
 SAFE = re.compile(r"(?<=\S) ")
 
