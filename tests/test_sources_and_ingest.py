@@ -19,7 +19,7 @@ from tidewater.operators.watermark import (
 from tidewater.plans.fixtures import run_of_day
 from tidewater.plans.ingest import csv_ingest, gated_append, gated_ingest
 from tidewater.plans.pipeline import customer_pipeline
-from tidewater.schemas import DIMENSION, SAMPLE, SOURCE_SCHEMAS, WATERMARK
+from tidewater.schemas import SAMPLE, SOURCE_SCHEMAS, WATERMARK
 from tidewater.sources.csv_io import read_stage_csv, write_landing
 from tidewater.sources.extract import extract, read_jdbc, source_exists
 from tidewater.sources.table_store import DimensionStore
@@ -169,18 +169,6 @@ def test_a_day_without_changes_stages_and_adds_nothing(spark, tmp_path, mode, la
         assert sorted(map(str, store.dimension().collect())) == before
 
 
-def test_store_reports_lost_rows(spark, tmp_path):
-    import shutil
-
-    store = DimensionStore(spark, str(tmp_path / "store"))
-    marks = spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], WATERMARK)
-    store.commit_full(1, spark.createDataFrame([], DIMENSION), marks)
-    assert DimensionStore(spark, str(tmp_path / "store")).current().count() == 0  # empty, not lost
-    shutil.rmtree(tmp_path / "store" / "runs" / "run=1")
-    with pytest.raises(FileNotFoundError):
-        DimensionStore(spark, str(tmp_path / "store")).current()
-
-
 def test_overlap_reads_further_back(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     hwm = orders.agg(F.max("o_orderdate")).first()[0]

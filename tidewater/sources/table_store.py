@@ -42,6 +42,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.scd import CURRENT
 from ..schemas import DIMENSION, DIMENSION_COLUMNS, PENDING, WATERMARK
+from ..session import materialize
 from .files import Files
 
 LIVE, CLOSED = "live", "closed"
@@ -59,6 +60,10 @@ FILES = T.StructType(
 )
 
 
+#: Folders that ``vacuum`` looks through.
+SWEPT = ("rows", "manifests", "pending", "_work")
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed rows of the same buckets since this one read the store."""
 
@@ -291,7 +296,7 @@ class DimensionStore:
         cutoff = F.lit(dt.datetime.now(dt.timezone.utc) - older_than)
         top = self.files.qualified() + "/"
         found = (
-            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.root)
+            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{self.root}/{f}" for f in self.files.names("") if f in SWEPT])
             .select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "modificationTime")
             .where(F.col("modificationTime") < cutoff)
             .select(F.replace("path", F.lit(_one_slash(top)), F.lit("")).alias("path"))
@@ -299,14 +304,15 @@ class DimensionStore:
         kind = F.split("path", "/")[0]
         folder = F.concat_ws("/", F.slice(F.split("path", "/"), 1, 2))
         loose_rows = found.where(kind == "rows").join(named, "path", "left_anti").select("path")
-        loose_folders = found.where(kind.isin("manifests", "pending", "_work")).select(folder.alias("path")).distinct().where(~F.col("path").isin(sorted(folders)))
-        removed = 0
-        # Commits first: no reader shall find one whose files are gone.
+        loose_folders = found.where(kind != "rows").select(folder.alias("path")).distinct().where(~F.col("path").isin(sorted(folders)))
+        # Listed and written down before anything goes.  Commits go first: no reader shall find one whose
+        # files are gone.
+        loose, removed = materialize(loose_rows.unionByName(loose_folders)), 0
         for run in runs:
             if run not in kept:
                 self.files.remove(_commit_name(run))
                 removed += 1
-        for r in loose_rows.unionByName(loose_folders).toLocalIterator():
+        for r in loose.toLocalIterator():
             self.files.remove(r["path"])
             removed += 1
         return removed
