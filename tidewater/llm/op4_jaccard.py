@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import columns_of, parts_for, written
 from .components import components
 from .sorted_groups import grouped
-from .words import PLAIN, Words, mixed, runs, steps
+from .words import PLAIN, STEP, Words, mixed, runs, steps
 
 WORDS = 3
 PERCENT = 90
@@ -62,16 +62,27 @@ def sets_of(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     for i, (a, k) in enumerate(zip(w.first[:-1].tolist(), n.tolist(), strict=True)):
         if k == 0:
             continue
-        own = np.sort(r[a : a + k - words + 1]) if k >= words else runs(h[a : a + k], k)
+        own = r[a : a + k - words + 1] if k >= words else runs(h[a : a + k], k)
+        own.sort()  # no run of one text is part of another's
         if len(own) > 1:
             new = np.ones(len(own), dtype=bool)
             np.not_equal(own[1:], own[:-1], out=new[1:])
             own = own[new]
         out.append(own)
         sizes[i] = len(own)
+    if len(out) == 1:
+        return out[0], sizes
     return (np.concatenate(out) if out else np.empty(0, dtype=np.uint64)), sizes
 
 
+def sets_in_steps(texts: pa.ChunkedArray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``sets_of`` of any number of texts, some of them at a time."""
+    found = [sets_of(b.column("text"), words) for whole in texts.chunks for b in steps(pa.RecordBatch.from_arrays([whole], names=["text"]), "text")]
+    if not found:
+        return np.empty(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    return np.concatenate([h for h, _ in found]), np.concatenate([n for _, n in found])
+
+
 def levels(most: int) -> np.ndarray:
     """Upper limits of the bands of set sizes, up to ``most``."""
     out = [1]
@@ -104,12 +115,18 @@ def keys_of(h: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray,
         spare = (d + 1) // 10
         groups = d + 1 + spare
         first = np.cumsum(groups) - groups
-        at = np.arange(n.sum()) + np.repeat(starts[own] - np.cumsum(n) + n, n)
-        x = h[at]
-        place = np.repeat(first, n) + ((x >> np.uint64(11)) % np.repeat(groups, n).astype(np.uint64)).astype(np.int64)
         total = np.zeros(groups.sum(), dtype=np.uint64)
-        np.add.at(total, place, mixed(x ^ _ODD))
-        filled = np.bincount(place, minlength=len(total)) > 0
+        filled = np.zeros(len(total), dtype=bool)
+        ends = np.cumsum(n)
+        for a in range(0, int(ends[-1]), STEP):
+            z = min(a + STEP, int(ends[-1]))
+            low, high = np.searchsorted(ends, [a, z - 1], side="right")
+            inside = np.minimum(ends[low : high + 1], z) - np.maximum(ends[low : high + 1] - n[low : high + 1], a)
+            of = np.repeat(np.arange(low, high + 1), inside)
+            x = h[np.arange(a, z) + (starts[own] - ends + n)[of]]
+            place = first[of] + ((x >> np.uint64(11)) % groups[of].astype(np.uint64)).astype(np.int64)
+            np.add.at(total, place, mixed(x ^ _ODD))
+            filled[place] = True
         of = np.repeat(np.arange(len(own)), groups)
         empty = groups - np.bincount(of, weights=filled, minlength=len(own)).astype(np.int64)
         keep = filled | (empty > spare)[of]
@@ -223,7 +240,7 @@ def linked(tiled: DataFrame, words: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in grouped(batches, ["family", "tile"]):
-            h, sizes = sets_of(t["text"].combine_chunks() if t["text"].num_chunks else pa.array([], pa.string()), words)
+            h, sizes = sets_in_steps(t["text"], words)
             sets, node = t["one"].to_numpy(), t["node"].to_numpy()
             turn, label = t["turn"].to_numpy(), t["label"].to_numpy()
             _, one = np.unique(sets, return_index=True)  # a hub stands in its own tile twice

@@ -1,8 +1,9 @@
 """Words of whole texts as numpy arrays: spans and hashes, straight from Arrow's text buffers.
 
 ``Words`` works on a batch of texts at once, without a Python object for each word.  Batches are cut
-to about ``STEP`` bytes of text (one longer text is a batch of its own), which bounds a task's memory by
-the longest text.  Hashes have 64 bits; whoever needs certainty compares the bytes.
+to about ``STEP`` bytes of text (one longer text is a batch of its own).  Hashes are made in pieces of as
+many bytes, whatever the length of a text or a word; beside them a word takes 16 bytes (its start, end and
+hash) and a text's byte 3 for a moment.  Hashes have 64 bits; whoever needs certainty compares the bytes.
 """
 
 from __future__ import annotations
@@ -32,13 +33,15 @@ def _symbols() -> np.ndarray:
     return once(("symbols",), lambda: np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)[LOWER])
 
 
-def _powers(n: int, base: int) -> np.ndarray:
+def _powers(base: int) -> np.ndarray:
+    """``base`` to the power of 0, 1, ... up to a step."""
+
     def make() -> np.ndarray:
-        out = np.full(n, base, dtype=np.uint64)
+        out = np.full(STEP + 1, base, dtype=np.uint64)
         out[0] = 1
         return np.multiply.accumulate(out)
 
-    return once(("powers", n, base), make)
+    return once(("powers", base), make)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -64,42 +67,62 @@ class Words:
         self.data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[low:high] if high > low else np.empty(0, dtype=np.uint8)
         self.offsets = offsets - low
         inside = kind[self.data]
-        before, after = np.empty_like(inside), np.empty_like(inside)
-        before[1:], after[:-1] = inside[:-1], inside[1:]
+        size = np.int32 if len(inside) < 1 << 31 else np.int64
         edges = self.offsets[:-1][np.diff(self.offsets) > 0]
-        before[edges] = False
-        if len(edges):
-            after[edges[1:] - 1] = False
-            after[-1] = False
-        self.starts = np.flatnonzero(inside & ~before)
-        self.ends = np.flatnonzero(inside & ~after) + 1
+        here = inside.copy()
+        here[1:] &= ~inside[:-1]
+        here[edges] = inside[edges]
+        self.starts = np.flatnonzero(here).astype(size)
+        here[:] = inside
+        here[:-1] &= ~inside[1:]
+        here[edges[1:] - 1] = inside[edges[1:] - 1]
+        self.ends = np.flatnonzero(here).astype(size) + size(1)
         self.first = np.searchsorted(self.starts, self.offsets)
-        self._kept = None
 
-    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
-        if self._kept is None:
-            n = 1 << max(12, len(self.data).bit_length())
-            sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-            np.cumsum(_symbols()[self.data] * _powers(n, _BASE)[: len(self.data)], out=sums[1:])
-            self._kept = sums, _powers(n, _BASE_INVERSE)[self.starts]
-        return self._kept
+    def _sum(self, a: int, z: int) -> np.ndarray:
+        """Running sums of the bytes a to z, at most a step of them, weighed by the powers from a on."""
+        sums = np.zeros(z - a + 1, dtype=np.uint64)
+        np.cumsum(_symbols()[self.data[a:z]] * _powers(_BASE)[: z - a], out=sums[1:])
+        return sums
+
+    def _long(self, a: int, z: int) -> int:
+        """The sum of a word that is longer than a step."""
+        total = 0
+        for at in range(a, z, STEP):
+            total += int(self._sum(at, min(z, at + STEP))[-1]) * pow(_BASE, at - a, 1 << 64)
+        return total % (1 << 64)
 
     def hashes(self) -> np.ndarray:
         """A hash for each word, A-Z as a-z."""
-        sums, back = self._sums()
-        return mixed((sums[self.ends] - sums[self.starts]) * back)
+        out = np.empty(len(self.starts), dtype=np.uint64)
+        back = _powers(_BASE_INVERSE)
+        i = 0
+        while i < len(out):
+            a = int(self.starts[i])
+            j = int(np.searchsorted(self.ends, a + STEP, side="right"))
+            if j <= i:
+                out[i] = self._long(a, int(self.ends[i]))
+                i += 1
+                continue
+            sums = self._sum(a, int(self.ends[j - 1]))
+            starts = self.starts[i:j] - a
+            out[i:j] = (sums[self.ends[i:j] - a] - sums[starts]) * back[starts]
+            i = j
+        return mixed(out)
 
     def beginnings(self, some: np.ndarray, n: int) -> np.ndarray:
         """A hash of the first ``n`` bytes of ``some`` words (a mask), which must have as many."""
-        sums, back = self._sums()
         s = self.starts[some]
-        return mixed((sums[s + n] - sums[s]) * back[some] + np.uint64(n))
+        out = np.zeros(len(s), dtype=np.uint64)
+        for k in range(n):
+            out += _symbols()[self.data[s + k]] * _powers(_BASE)[k]
+        return mixed(out + np.uint64(n))
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
     def doc_of_word(self) -> np.ndarray:
-        return np.repeat(np.arange(self.n), self.counts())
+        return np.repeat(np.arange(self.n, dtype=np.int32), self.counts())
 
 
 def runs(h: np.ndarray, n: int) -> np.ndarray:
@@ -107,9 +130,13 @@ def runs(h: np.ndarray, n: int) -> np.ndarray:
     if len(h) < n:
         return np.empty(0, dtype=np.uint64)
     out = np.zeros(len(h) - n + 1, dtype=np.uint64)
-    for k in range(n):
-        out = out * np.uint64(_BASE) + h[k : len(h) - n + 1 + k]
-    return mixed(out + np.uint64(n))
+    for a in range(0, len(out), STEP):
+        some = out[a : a + STEP]
+        for k in range(n):
+            some *= np.uint64(_BASE)
+            some += h[a + k : a + k + len(some)]
+        some[:] = mixed(some + np.uint64(n))
+    return out
 
 
 def steps(batch: pa.RecordBatch, column: str, step: int = STEP) -> Iterator[pa.RecordBatch]:
