@@ -54,14 +54,13 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def parts_of(w: Words) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(kind, hashes, text of each) of a batch: kind 0 for words, n for beginnings of n bytes."""
-    length, of = w.ends - w.starts, w.doc_of_word()
-    out = [(0, w.hashes(), of)]
+def parts_of(w: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(kind, hashes, text of each) of a batch, one kind at a time: 0 for words, n for beginnings of n bytes."""
+    of = w.doc_of_word()
+    yield 0, w.hashes(), of
     for k in PATTERNS:
-        some = length > k  # a whole word of k bytes is a word, not a beginning
-        out.append((k, w.beginnings(some, k), of[some]))
-    return out
+        some = w.ends - w.starts > k  # a whole word of k bytes is a word, not a beginning
+        yield k, w.beginnings(some, k), of[some]
 
 
 def labelled_sample(labels: DataFrame, most: int = LABELLED) -> DataFrame:
@@ -141,7 +140,7 @@ class Lexica:
         if not texts:
             return (np.empty(0, dtype=np.int64),) * 3
         t, f, v = (np.concatenate(x) for x in (texts, features, voters))
-        _, one = np.unique(t * max(1, len(self.entries)) + f, return_index=True)
+        _, one = np.unique(t.astype(np.int64) * max(1, len(self.entries)) + f, return_index=True)
         return t[one], f[one], v[one]
 
 
@@ -240,7 +239,9 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     order = np.argsort(patterns)
     patterns, n = patterns[order], n[order]
     post = label_model(patterns, n, share)
-    rows = voted.where("features is not null").orderBy("pattern", "features").collect()
+    # Copies vote alike and count once here: however often a row is repeated, what is collected is bounded
+    # by the texts that differ.
+    rows = sorted(voted.where("features is not null").select("pattern", "features").distinct().collect())
     soft = post[np.searchsorted(patterns, [r.pattern for r in rows])] if rows else np.empty(0)
     return Model(lexica, linear([np.array(r.features, dtype=int) for r in rows], soft, len(entries), float((post * n).sum() / max(n.sum(), 1))))
 
