@@ -1,6 +1,7 @@
 """Every query that SQL expresses against its SQL, on the given tables and on awkward ones."""
 
 import pytest
+from pyspark.sql import functions as F
 from tests_llm_helpers import SF, awkward, docs_of, empty_docs, same
 
 from tidewater.llm import op1_mix, op4_jaccard, op7_decontaminate, op8_topk, op9_licenses, op10_chat, queries
@@ -22,7 +23,7 @@ def test_mixing_of_awkward_rows(spark):
 
 
 def test_mixing_reaches_its_targets(spark):
-    from pyspark.sql import functions as F
+
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = op1_mix.mixed(docs).cache()
@@ -36,7 +37,7 @@ def test_mixing_reaches_its_targets(spark):
 
 
 def test_ordered_mix_holds_what_was_decided(spark):
-    from pyspark.sql import functions as F
+
 
     docs = awkward(spark)
     mix = op1_mix.ordered(docs)
@@ -150,7 +151,7 @@ def test_decontamination_of_awkward_rows(spark):
     docs = awkward(spark).unionByName(docs_of(spark, [(20, f"zero {ten.upper()}, eleven", "a"), (21, "one two three four five six seven eight nine", "a"), (22, "WORD", None), (22, "WORD", None)]))
     items = items_of(spark, [(1, ten + " eleven", "w", 1), (1, ten, "w", 1), (10, "Word!", "w", 1), (2, None, "w", 1), (3, "", "w", 1), (None, "same short", "w", 1), (9, "·", "w", 1)])
     got = op7_decontaminate.judged(docs, items)
-    from pyspark.sql import functions as F
+
 
     got = got.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
     views = {"documents": as_arrow(docs, "doc_id", "text"), "benchmark": as_arrow(items, "item_id", "text")}
@@ -203,6 +204,19 @@ def test_topk_needs_its_second_phase(spark, monkeypatch):
     assert [(r.vec_id, r.score) for r in got] == [(77, 64 * 64 * 4)]
 
 
+def test_a_source_of_repeated_rows_gets_its_share(spark):
+    """Equal rows are taken one by one: a source of copies is as near its target as any other."""
+    rows = [(1, "ten words " * 5, "a")] * 300 + [(k, "ten words " * 5, "b") for k in range(300)] + [(None, f"{k} nine words " * 3, "c") for k in range(300)]
+    docs = docs_of(spark, rows)
+    got = op1_mix.mixed(docs).cache()
+    per = got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert all(abs(r.taken - r.target) <= 10 and r.n == 300 for r in per) and len(per) == 3
+    assert sum(r.taken for r in per) <= 1.5 * got.agg(F.sum("size")).first()[0]
+    assert op1_mix.ordered(docs).groupBy("source").count().collect() != []
+    words = op1_mix.ordered(docs).groupBy("source").agg(F.sum(op1_mix.size_of(F.col("text"))).alias("n"))
+    assert {r.source: r.n for r in words.collect()} == {r.source: r.taken for r in per}
+
+
 def test_licenses_of_awkward_rows(spark):
     more = [
         (30, "Released under the MIT License", "a"),
@@ -225,12 +239,22 @@ def test_wrapped_notices_are_found(spark):
     rows = []
     for i, (_, t) in enumerate(op9_licenses.TEMPLATES):
         rows += [(10 * i + k, f"{mark}x y z\n" + textwrap.fill(t, 72, initial_indent=mark, subsequent_indent=mark) + "\nint main", "a") for k, mark in enumerate(marks)]
-    got = {r.doc_id: r for r in op9_licenses.notices(docs_of(spark, rows)).collect()}
+    got = {r.doc_id: r for r in op9_licenses.licenses(docs_of(spark, rows)).collect()}
     for i, (label, _) in enumerate(op9_licenses.TEMPLATES):
         for k in range(len(marks)):
             assert label in got[10 * i + k].labels.split(",") and got[10 * i + k].score == 1, got[10 * i + k]
-    assert {(r.labels, r.score) for r in op9_licenses.notices(awkward(spark)).collect()} == {("", 0.0)}
-    assert op9_licenses.notices(empty_docs(spark)).count() == 0
+    assert {(r.labels, r.score) for r in op9_licenses.licenses(awkward(spark)).where("n_base = 0").collect()} == {("", 0.0)}
+    assert op9_licenses.licenses(empty_docs(spark)).count() == 0
+
+
+def test_a_long_text_with_notices_across_windows(spark):
+    """A notice at every place of a long text is found, whatever window it falls into."""
+    notice = op9_licenses.TEMPLATES[1][1]
+    rows = [(k, "w " * k + notice + " w" * (300 - k), "a") for k in range(0, 300, 7)] + [(1000, ("w " * 200 + "Released under the BSD License ") * 400, "a")]
+    docs = docs_of(spark, rows)
+    got = {r.doc_id: (r.labels, r.score) for r in op9_licenses.licenses(docs).collect()}
+    assert got == {k: ("apache", 1.0) if k < 1000 else ("bsd", 1.0) for k, *_ in rows}
+    same(op9_licenses.licenses(docs), queries.ORACLE_SQL["op9_license_scan"], views={"documents": as_arrow(docs, "doc_id", "text")})
 
 
 def test_each_notice_gets_its_own_label_alone(spark):
@@ -238,10 +262,12 @@ def test_each_notice_gets_its_own_label_alone(spark):
     mozilla = "You may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/2.0"
     lgpl = "This work is licensed under the GNU Lesser General Public License, version 3"
     loose = "The library was released long ago, under a tree, and the others have no license to read it"
-    more = [("", "Released under the License"), ("", loose), ("", nc), ("", mozilla), ("", lgpl), ("bsd,mit", "Released under the MIT License.\nReleased under the BSD License.")]
+    more = [("mit", "Released under the MIT License."), ("cc-by-nc", "Licensed under CC BY-NC 4.0."), ("", "Released long ago under a tree, and the others have no license")]
+    # the base phrase "general public license" stands in lgpl: its label stays, though no template is met
+    more += [("", "Released under the License"), ("", loose), ("", nc), ("", mozilla), ("gpl", lgpl), ("bsd,mit", "Released under the MIT License.\nReleased under the BSD License.")]
     given = [*op9_licenses.TEMPLATES, *more]
     for around in ("{}", "before it\n{}.\nafter it"):
-        got = {r.doc_id: r.labels for r in op9_licenses.notices(docs_of(spark, [(i, around.format(t), "a") for i, (_, t) in enumerate(given)])).collect()}
+        got = {r.doc_id: r.labels for r in op9_licenses.licenses(docs_of(spark, [(i, around.format(t), "a") for i, (_, t) in enumerate(given)])).collect()}
         assert [got[i] for i in range(len(given))] == [label for label, _ in given]
 
 
@@ -256,7 +282,7 @@ def test_chat_of_awkward_rows(spark, monkeypatch):
     rows += [(3, i, "assistant", t) for i, t in enumerate(texts)]
     c = spark.createDataFrame([(*r, 7, "i", 9) for r in rows], CONVERSATIONS)
     got = op10_chat.read_back(op10_chat.formatted(c))
-    from pyspark.sql import functions as F
+
 
     got = got.select(F.when(F.col("has") == 1, F.col("conv")).alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars").where("conv_id is null or conv_id <> -7")
     sql = f"SELECT * FROM ({queries.ORACLE_SQL['op10_chat_format'].replace('ORDER BY turn, role, t', 'ORDER BY turn NULLS FIRST, role, t')}) WHERE conv_id IS NULL OR conv_id <> -7"

@@ -16,15 +16,16 @@ times, to the documents that are under way then.  ``ordered`` range-sorts the ta
 finish times: the stream to train on.
 
 Defined cases: null text has size 0, and a document of size 0 is taken without use of the budget; a
-null source is a source, the last one; rows alike in doc_id, source and size share one finish time and
-are taken or left together, so that the outcome doesn't depend on how Spark orders them; an empty
-table gives an empty result; further columns are ignored.  The table of sources passes through one
+null source is a source, the last one; rows alike in doc_id, source and text stand one behind the other,
+each with its own finish time (they are counted as one group until then, so that neither a repeated row
+nor a null doc_id makes a hot key, and which of them is taken makes no difference); an empty table gives
+an empty result; further columns are ignored.  The table of sources passes through one
 task: it holds a row for each source, not for each document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,15 +40,21 @@ LIMIT = 2
 RANGE_ROWS = 4096
 
 
+def place_in_shuffle(doc_id: Column, text: Column) -> Column:
+    """0 to 2**32 - 1, by the row's id and text."""
+    said = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(said), 1, 8), 16, 10).cast("long")
+
+
+def size_of(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, at): ``at`` is the place in the shuffle, 0 to 2**32 - 1."""
+    """(doc_id, source, size, at, rows): ``at`` is the place in the shuffle, ``rows`` how many are alike."""
     d = columns_of(docs, "doc_id", "source", "text")
-    return d.select(
-        "doc_id",
-        "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long").alias("at"),
-    )
+    d = d.select("doc_id", "source", size_of(F.col("text")).alias("size"), place_in_shuffle(F.col("doc_id"), F.col("text")).alias("at"))
+    return d.groupBy("doc_id", "source", "size", "at").agg(F.count("*").alias("rows"))
 
 
 def waterline(sources: DataFrame, share: float = SHARE, limit: int = LIMIT) -> DataFrame:
@@ -85,22 +92,25 @@ def weighted(per_source: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> Dat
 
 
 def queued(base: DataFrame, share: float = SHARE, limit: int = LIMIT, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
-    """Rows of ``base`` (see ``sized``; written, as it is read twice) with their finish times, one for
-    each pass (``finishes``), and their source's figures."""
-    per = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    """The rows of ``base`` (see ``sized``; written, as it is read twice) with their finish times, one for
+    each pass (``finishes``), their place among those alike, and their source's figures."""
+    words = F.col("size") * F.col("rows")
+    per = base.groupBy("source").agg(F.sum(words).alias("source_size"), F.count("*").alias("n"))
     figures = waterline(weighted(per, weights), share, limit).withColumn("ranges", F.ceil(F.col("n") / RANGE_ROWS))
     b, s = base.alias("b"), figures.alias("s")
     d = b.join(s, F.col("b.source").eqNullSafe(F.col("s.source"))).select(
         "b.*", *[F.col(f"s.{c}") for c in ("source_size", "rank", "weight", "target", "line", "budget", "ranges")]
     )
     d = d.withColumn("range", F.floor(F.col("at") * F.col("ranges") / F.lit(2.0**32)))
-    ranges = d.groupBy("rank", "range").agg(F.sum("size").alias("range_size"))
+    ranges = d.groupBy("rank", "range").agg(F.sum(words).alias("range_size"))
     upto = W.partitionBy("rank").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     ranges = ranges.select("rank", "range", F.coalesce(F.sum("range_size").over(upto), F.lit(0)).alias("before"))
-    inside = W.partitionBy("rank", "range").orderBy("at", "doc_id", "size").rangeBetween(W.unboundedPreceding, W.currentRow)
-    d = d.withColumn("inside", F.sum("size").over(inside)).join(ranges, ["rank", "range"])
-    end = [(F.col("before") + F.col("inside") + F.col("source_size") * k) / F.col("weight") for k in range(limit)]
-    return d.withColumn("finishes", F.array(*end)).drop("inside", "before", "range", "ranges")
+    inside = W.partitionBy("rank", "range").orderBy("at", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    d = d.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0))).join(ranges, ["rank", "range"])
+    d = d.withColumn("place", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    upto = F.col("before") + F.col("inside") + F.col("size") * F.col("place")
+    end = [(upto + F.col("source_size") * k) / F.col("weight") for k in range(limit)]
+    return d.withColumn("finishes", F.array(*end)).drop("inside", "before", "range", "ranges", "rows")
 
 
 def mixed(docs: DataFrame, share: float = SHARE, limit: int = LIMIT, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
@@ -137,6 +147,8 @@ def mixed(docs: DataFrame, share: float = SHARE, limit: int = LIMIT, weights: tu
         (F.col("size") * F.when(F.col("cut").isNull(), F.lit(limit)).otherwise(passes)).alias("taken"),
         "finishes",
         "cut",
+        "at",
+        "place",
     )
 
 
@@ -144,13 +156,15 @@ def ordered(docs: DataFrame, share: float = SHARE, limit: int = LIMIT, weights:
     """The mix itself: the rows of ``docs``, as often as they are taken, with ``mix_pass`` (from 0) and
     ``mix_finish``, range-sorted by finish time."""
     decided = mixed(docs, share, limit, weights)
-    copies = decided.select("doc_id", "source", "size", "cut", F.posexplode("finishes").alias("mix_pass", "mix_finish"))
-    copies = copies.where(F.col("cut").isNull() | (F.col("mix_finish") <= F.col("cut"))).drop("cut").distinct()
-    # rows alike in doc_id, source and size share their finish times
+    copies = decided.select("doc_id", "source", "size", "at", "place", "cut", F.posexplode("finishes").alias("mix_pass", "mix_finish"))
+    copies = copies.where(F.col("cut").isNull() | (F.col("mix_finish") <= F.col("cut"))).drop("cut")
     d = docs.drop("mix_pass", "mix_finish")
     row = F.struct(*[d[c] for c in d.columns]).alias("row")  # so no name of the table's can clash
-    d = d.select(row, F.coalesce(F.regexp_count(d["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("n"))
-    on = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source")) & (F.col("n") == F.col("size"))
+    d = d.select(row, size_of(d["text"]).alias("n"), place_in_shuffle(d["doc_id"], d["text"]).alias("here"))
+    alike = W.partitionBy("here", "n", "row.doc_id", "row.source").orderBy(F.xxhash64("row"))
+    d = d.withColumn("number", F.row_number().over(alike))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source"))
+    on = (F.col("here") == F.col("at")) & (F.col("n") == F.col("size")) & (F.col("number") == F.col("place")) & same
     out = d.join(copies, on).select("row.*", "mix_pass", "mix_finish")
     n = parts_for(docs.sparkSession, 0, 1)
     return out.repartitionByRange(n, "mix_finish").sortWithinPartitions("mix_finish")

@@ -1,23 +1,25 @@
 """License scans: an exact set-similarity join of text blocks and license templates (DataFrame functions only).
 
-Blocks are the lines of a text, as sets of words.  A block meets a template if it holds at least
-``CONTAINMENT`` of the template's words.  Words have a global order, by the number of blocks of the whole
-corpus that hold them, rarest first.  A template of m words of which c are needed has a prefix, its
-m - c + 1 rarest: a block that meets it holds one of them at least.  So blocks are joined with prefix
-words only, and of the pairs found go those whose block is too short (length), or whose first common
-word stands too far back in the template or in the block's own ordered words for c common ones
-(position).  What is left is verified by intersection.
-
-``licenses`` takes lines, as its SQL does, so it misses a long notice that is wrapped.  ``notices`` takes each
-run of words as long as a template, and a quarter more, over line ends and comment marks; the words that
-tell licenses apart must be there, and templates of few words must be whole.
+A block is a run of consecutive words, as long as the template and, for long ones, a quarter longer; line
+ends and comment marks are no words, so a wrapped notice is a block like any other.  A block meets a
+template if it holds at least ``CONTAINMENT`` of its distinct words (all, of a template of fewer than
+``SHORT``), the ones that tell the license from others of like wording (``TELLING``) among them, and none
+that makes it another license (``OTHERS``).
+
+The join.  Texts are cut into overlapping windows twice as long as the longest block, at every such length,
+so that each block lies in a window.  Words have a global order, by how often they stand in all texts,
+rarest first.  A template of m words of which c are needed has a prefix, its m - c + 1 rarest: a window
+with a block that meets it holds one of them at least, so windows are joined with prefix words only.  Of
+the pairs found go those whose window holds too few of the templates' words (length), or whose first
+common word stands too far back in the template or among the window's own ordered words for c common
+ones (position).  What is left is verified block by block.
 
 Beside the join stands the base scan: the places where the words of a known phrase stand consecutively.
 
-Defined cases: null text is empty; an empty text or block has no words and meets nothing; rows alike
-in doc_id and text have like results, each its own row; an empty table gives an empty result; further
-columns are ignored.  The templates are a fixed list in the program, so what they become can be
-broadcast; nothing of the documents is.  A block is part of one row, so no group is unbounded.
+Defined cases: null text is empty; an empty text has no words and meets nothing; rows alike in doc_id
+and text have like results, each its own row; an empty table gives an empty result; further columns are
+ignored.  The templates are a fixed list in the program, so what they become can be broadcast; nothing
+of the documents is.  A window is part of one row, so no group is unbounded.
 """
 
 from __future__ import annotations
@@ -51,11 +53,11 @@ TEMPLATES = (
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
-#: What a run must hold besides, in ``notices``: the words that tell a license from others of like wording.
+#: What a block must hold besides: the words that tell a license from others of like wording.
 TELLING = {"apache": {"apache"}, "bsd": {"bsd", "redistribution"}, "cc-by": {"cc", "attribution"}, "cc-by-nc": {"nc"}, "cc-by-sa": {"sa"}, "gpl": {"general"}, "mit": {"mit", "hereby"}, "mpl": {"mozilla"}}
 #: What makes it another license: cc-by isn't cc-by-nc written out.
 OTHERS = {"cc-by": ("noncommercial", "sharealike", "noderivatives", "noderivs"), "gpl": ("lesser", "affero")}
-#: Templates of fewer words must be held whole, in a run of their own length.
+#: Templates of fewer words must be held whole, in a block of their own length.
 SHORT = 12
 
 
@@ -66,61 +68,79 @@ def words(text: str) -> list[str]:
     return [w for w in re.split(BETWEEN, "".join(c.lower() if "A" <= c <= "Z" else c for c in text)) if w]
 
 
-def block_words(block: Column) -> Column:
-    """The distinct words of a block."""
-    return F.array_distinct(F.array_remove(F.split(lower_ascii(block), BETWEEN), ""))
+def needed(m: int, containment: float) -> int:
+    """How many of a template's m words a block must hold."""
+    return m if m < SHORT else max(1, math.ceil(round(containment * m, 9)))
 
 
-def needed(m: int, containment: float) -> int:
-    return max(1, math.ceil(round(containment * m, 9)))
+def span(said: list[str]) -> int:
+    """How many words a block has for a template of the words ``said``."""
+    return len(said) + (len(said) // 4 if len(set(said)) >= SHORT else 0)
 
 
-def blocks_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, block, words): the lines that have words."""
-    d = columns_of(docs, "doc_id", "text")
-    lines = d.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("block", "line"))
-    # out of an explode, the words are made once for all that reads them
-    return lines.select("doc_id", "text_hash", "block", F.explode(F.array(block_words(F.col("line")))).alias("words")).where(F.size("words") > 0)
+def text_words(text: Column) -> Column:
+    return F.array_remove(F.split(lower_ascii(text), BETWEEN), "")
 
 
 def rarity(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """In how many blocks of all documents each of the templates' words stands: a row for each word."""
-    one = F.explode(F.filter("words", lambda w: w.isin(vocabulary))).alias("word")
-    found = blocks_of(docs).select(one).groupBy("word").count().collect()
+    """How often each of the templates' words stands in all texts: a row for each word."""
+    one = F.explode(F.filter(text_words(F.col("text")), lambda w: w.isin(vocabulary))).alias("word")
+    found = columns_of(docs, "text").select(one).groupBy("word").count().collect()
     return dict.fromkeys(vocabulary, 0) | {r["word"]: r["count"] for r in found}
 
 
-def block_matches(
-    docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT
-) -> DataFrame:
-    """(doc_id, text_hash, block, template, label, containment): every block that meets a template."""
+def windows(docs: DataFrame, rare: list[str], length: int) -> DataFrame:
+    """(doc_id, text_hash, window, words) of the texts that hold one of the words ``rare``: runs of twice
+    ``length`` words, one from every ``length``-th word on."""
+    d = columns_of(docs, "doc_id", "text").where(F.col("text").rlike("(?i)" + "|".join(rare)))
+    # out of an explode, the words are made once for all that reads them
+    d = d.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.array(text_words(F.col("text")))).alias("all"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all") - length - 1, F.lit(0)), F.lit(length))
+    return d.select("doc_id", "text_hash", F.posexplode(F.transform(starts, lambda a: F.slice("all", a + 1, 2 * length))).alias("window", "words"))
+
+
+def most_held(words: Column, own: Column, telling: Column, others: Column, length: Column) -> Column:
+    """Of all blocks of ``length`` words in a window, the most distinct words of ``own`` that one holds
+    which has all ``telling`` words and none of the ``others``."""
+
+    def held(i: Column) -> Column:
+        block = lambda: F.slice(words, i + 1, length)
+        fits = (F.size(F.array_except(telling, block())) == 0) & ~F.arrays_overlap(others, block())
+        return F.when(F.array_contains(own, F.get(words, i)) & fits, F.size(F.array_intersect(block(), own))).otherwise(0)
+
+    return F.array_max(F.transform(F.sequence(F.lit(0), F.size(words) - 1), held))
+
+
+def matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, text_hash, label, containment): the templates that some block of a text meets."""
     spark = docs.sparkSession
-    sets = [sorted(set(words(t))) for _, t in templates]
-    vocabulary = sorted(set().union(*sets))
+    said = [words(t) for _, t in templates]
+    vocabulary = sorted(set().union(*said))
     count = rarity(docs, vocabulary)
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (count[w], w)))}
     rows, prefixes = [], []
-    for i, ((label, _), own) in enumerate(zip(templates, sets, strict=True)):
-        own = sorted(own, key=order.get)
+    for i, ((label, _), all_words) in enumerate(zip(templates, said, strict=True)):
+        own = sorted(set(all_words), key=order.get)
         c = needed(len(own), containment)
-        rows.append((i, label, own, len(own), c))
+        rows.append((i, label, own, sorted(TELLING.get(label, set()) & set(own)), list(OTHERS.get(label, ())), span(all_words), len(own), c))
         prefixes += [(i, w, at) for at, w in enumerate(own[: len(own) - c + 1])]
-    given = F.broadcast(spark.createDataFrame(rows, "template int, label string, own array<string>, m int, c int"))
+    given = F.broadcast(spark.createDataFrame(rows, "template int, label string, own array<string>, telling array<string>, others array<string>, length int, m int, c int"))
     prefix = F.broadcast(spark.createDataFrame(prefixes, "template int, word string, at int"))
     rare = sorted({w for _, w, _ in prefixes})
-    blocks = blocks_of(docs).where(F.exists("words", lambda w: w.isin(rare)))
-    # a block's words of the templates, in the global order
+    cut = windows(docs, rare, max(map(span, said))).where(F.exists("words", lambda w: w.isin(rare)))
+    # a window's words of the templates, in the global order
     ranks = F.create_map(*[x for w, i in order.items() for x in (F.lit(w), F.lit(i))])
-    known = F.array_sort(F.transform(F.filter("words", lambda w: w.isin(vocabulary)), lambda w: F.struct(F.element_at(ranks, w).alias("rank"), w.alias("word"))))
-    blocks = blocks.select("doc_id", "text_hash", "block", F.transform(known, lambda x: x["word"]).alias("known"))
-    pairs = blocks.select("*", F.posexplode("known").alias("place", "word")).join(prefix, "word")
-    pairs = pairs.groupBy("doc_id", "text_hash", "block", "template", "known").agg(F.min("at").alias("at"), F.min("place").alias("place"))
-    left = pairs.join(given, "template").where(
-        (F.size("known") >= F.col("c")) & (F.col("m") - F.col("at") >= F.col("c")) & (F.size("known") - F.col("place") >= F.col("c"))
+    some = F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary)))
+    known = F.array_sort(F.transform(some, lambda w: F.struct(F.element_at(ranks, w).alias("rank"), w.alias("word"))))
+    cut = cut.select("doc_id", "text_hash", "window", "words", F.transform(known, lambda x: x["word"]).alias("known"))
+    pairs = cut.select("doc_id", "text_hash", "window", "words", F.size("known").alias("n"), F.posexplode("known").alias("place", "word")).join(prefix, "word")
+    pairs = pairs.groupBy("doc_id", "text_hash", "window", "template").agg(
+        F.min("at").alias("at"), F.min("place").alias("place"), F.first("n").alias("n"), F.first("words").alias("words")
     )
-    common = F.size(F.array_intersect("known", "own"))
-    met = left.select("doc_id", "text_hash", "block", "template", "label", "c", "m", common.alias("common")).where(F.col("common") >= F.col("c"))
-    return met.select("doc_id", "text_hash", "block", "template", "label", (F.col("common") / F.col("m")).alias("containment"))
+    left = pairs.join(given, "template").where((F.col("n") >= F.col("c")) & (F.col("m") - F.col("at") >= F.col("c")) & (F.col("n") - F.col("place") >= F.col("c")))
+    best = most_held(F.col("words"), F.col("own"), F.col("telling"), F.col("others"), F.col("length"))
+    met = left.select("doc_id", "text_hash", "label", "m", "c", F.explode(F.array(best)).alias("held")).where(F.col("held") >= F.col("c"))
+    return met.select("doc_id", "text_hash", "label", (F.col("held") / F.col("m")).alias("containment"))
 
 
 def places(ws: Column, phrase: str) -> Column:
@@ -143,7 +163,7 @@ def scanned(docs: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASES) ->
     d = columns_of(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
     any_phrase = "|".join(RAW_BETWEEN.join(words(p)) for p, _ in phrases)
     holds = F.col("text").rlike(f"(?i){any_phrase}")  # may hold one, which the words decide
-    ws = F.array_remove(F.split(lower_ascii(F.col("text")), BETWEEN), "")
+    ws = text_words(F.col("text"))
     all_places = F.transform(F.array(ws), lambda w: F.array(*[places(w, p) for p, _ in phrases]))[0]  # as an element, the words are made once
     found = F.when(holds, all_places).otherwise(F.array().cast("array<array<int>>"))
     n_words = F.regexp_count("text", F.lit(RAW_WORD)).cast("long")
@@ -164,7 +184,7 @@ def scanned(docs: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASES) ->
 def licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, containment: float = CONTAINMENT) -> DataFrame:
     """A row for each document: the base scan, the labels of both, and a score: 1 where a base phrase
     stands, else the highest containment of a template that a block meets, else 0."""
-    met = block_matches(docs, templates, containment)
+    met = matches(docs, templates, containment)
     by_text = met.groupBy("doc_id", "text_hash").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
     base, m = scanned(docs, phrases).alias("base"), by_text.alias("m")
     both = base.join(m, F.col("base.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("base.text_hash") == F.col("m.text_hash")), "left")
@@ -180,60 +200,3 @@ def licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, containment:
         F.array_join(labels, ",").alias("labels"),
         F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.col("m.best"), F.lit(0.0))).alias("score"),
     )
-
-
-def notices(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, labels, score) for each row: the labels of the templates of which some run of words holds
-    ``containment``, and the highest containment, else 0.
-
-    A run begins at a word of the template; of the template's words in a text, in order, as many as the run
-    is long are looked at for each, so a text takes time by its length.
-    """
-    d = columns_of(docs, "doc_id", "text")
-    may = F.col("text").rlike("(?i)" + "|".join(sorted({w for _, t in templates for w in some_of(t, containment)})))
-    ws = F.when(may, F.array_remove(F.split(lower_ascii(F.col("text")), BETWEEN), "")).otherwise(F.array().cast("array<string>"))
-    d = d.select("doc_id", F.explode(F.array(F.coalesce(ws, F.array().cast("array<string>")))).alias("ws"))
-
-    def best(label: str, template: str) -> Column:
-        """The most distinct words of the template in a run, if enough, as a share of them."""
-        said = words(template)
-        own, length = sorted(set(said)), run_length(said)
-        need = needed(len(own), containment) if len(own) >= SHORT else len(own)
-        telling, others = sorted(TELLING.get(label, set()) & set(own)), OTHERS.get(label, ())
-        at = F.transform("ws", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-        hits = F.filter(at, lambda x: x["w"].isin([*own, *others]))
-
-        def held(all_hits: Column) -> Column:
-            def common(x: Column, k: Column) -> Column:
-                run = F.filter(F.slice(all_hits, k + 1, length), lambda y: y["i"] < x["i"] + length)
-                return F.transform(F.array(F.array_distinct(F.transform(run, lambda y: y["w"]))), told)[0]
-
-            def told(run: Column) -> Column:
-                ok = F.lit(True)
-                for w in telling:
-                    ok &= F.array_contains(run, w)
-                for w in others:
-                    ok &= ~F.array_contains(run, w)
-                return F.when(ok, F.size(run)).otherwise(0)
-
-            return F.array_max(F.transform(all_hits, common))
-
-        most = F.transform(F.array(hits), held)[0]  # as an element, the hits are made once
-        enough = F.size(F.array_intersect("ws", F.array(*map(F.lit, own)))) >= need
-        return F.when(enough, F.when(most >= need, most / len(own)))
-
-    met = F.array_compact(F.array(*[F.struct(F.lit(label).alias("label"), best(label, t).alias("share")) for label, t in templates]))
-    d = d.select("doc_id", F.explode(F.array(F.filter(met, lambda x: x["share"].isNotNull()))).alias("met"))
-    labels = F.array_sort(F.array_distinct(F.transform("met", lambda x: x["label"])))
-    return d.select("doc_id", F.array_join(labels, ",").alias("labels"), F.coalesce(F.array_max(F.transform("met", lambda x: x["share"])), F.lit(0.0)).alias("score"))
-
-
-def some_of(template: str, containment: float) -> list[str]:
-    """So many words of a template, its longest, that what meets it holds one of them."""
-    own = sorted(set(words(template)), key=lambda w: (-len(w), w))
-    return own[: len(own) - needed(len(own), containment) + 1]
-
-
-def run_length(said: list[str]) -> int:
-    """How many words a run has in which a template's are looked for."""
-    return len(said) + len(said) // 4 if len(set(said)) >= SHORT else len(said)

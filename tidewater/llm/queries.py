@@ -53,11 +53,6 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_licenses.licenses(table(spark, sf_dir, "documents"))
 
 
-def op9_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notices wherever they stand, wrapped or not; op9_license_scan has the lines alone, as its SQL."""
-    return op9_licenses.notices(table(spark, sf_dir, "documents"))
-
-
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given conversations, and one (-7) of nothing but control strings."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -107,7 +102,6 @@ QUERIES = {
         op7_benchmark_hits,
         op8_exact_topk,
         op9_license_scan,
-        op9_license_notices,
         op10_chat_format,
         op11_conversation_repair,
         op12_token_counts,
@@ -120,7 +114,7 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 OP1 = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS at
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 8))::BIGINT AS at
   FROM documents),
 per AS (
   SELECT *, [5.0, 2.0, 1.0][(rank - 1) % 3 + 1]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS cap
@@ -136,7 +130,7 @@ figures AS (
   FROM (SELECT *, arg_min(tried, cap / weight * 1.0::DOUBLE) FILTER (tried <= cap / weight) OVER () AS line FROM tried)),
 queued AS (
   SELECT d.doc_id, d.source, d.size, f.source_size, f.rank, f.weight, f.line, f.budget, f.target,
-         sum(d.size) OVER (PARTITION BY f.rank ORDER BY d.at, d.doc_id, d.size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+         sum(d.size) OVER (PARTITION BY f.rank ORDER BY d.at, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM d JOIN figures f ON d.source IS NOT DISTINCT FROM f.source),
 copies AS (
   SELECT rank, size, line, budget, ((upto + source_size * k) / weight)::DOUBLE AS finish FROM queued, (VALUES (0), (1)) AS t(k)),
@@ -230,30 +224,37 @@ SELECT query_id, place::INT AS rank, vec_id, score FROM k WHERE place <= 20
 
 
 def _op9() -> str:
-    templates = ", ".join(f"({i}, '{label}', '{t}')" for i, (label, t) in enumerate(op9_licenses.TEMPLATES))
-    ws = lambda c: f"list_filter(regexp_split_to_array({_LOWER.format(c)}, '{_ALNUM}'), lambda x: x <> '')"
-    at = {
-        label: f"list_filter(range(0, len(w)), lambda k: {' AND '.join(f'w[k + {i + 1}] = {x!r}' for i, x in enumerate(op9_licenses.words(p)))})"
-        for p, label in op9_licenses.PHRASES
-    }
-    labels = ", ".join(f"CASE WHEN len(at_{label}) > 0 THEN '{label}' END" for label in at)
+    strings = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]::VARCHAR[]"
+    rows = []
+    for label, notice in op9_licenses.TEMPLATES:
+        said = op9_licenses.words(notice)
+        m = len(set(said))
+        long = m >= op9_licenses.SHORT
+        least = -(-m * int(100 * op9_licenses.CONTAINMENT) // 100) if long else m
+        rows.append(f"('{label}', {strings(sorted(set(said)))}, {strings(sorted(op9_licenses.TELLING[label] & set(said)))}, {strings(op9_licenses.OTHERS.get(label, ()))}, {len(said) + (len(said) // 4 if long else 0)}, {least})")
+    phrases = " UNION ALL ".join(
+        f"SELECT r, '{label}' AS label, k FROM numbered WHERE {' AND '.join(f'list_extract(w, k + {i + 1}) = {x!r}' for i, x in enumerate(op9_licenses.words(p)))}" for p, label in op9_licenses.PHRASES
+    )
     return f"""
-WITH t(template, label, notice) AS (VALUES {templates}),
-sets AS (SELECT label, list_distinct({ws("notice")}) AS own FROM t),
-d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {ws("coalesce(text, '')")} AS w FROM documents),
-lines AS (SELECT r, list_distinct({ws("line")}) AS words FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)),
-met AS (
-  SELECT r, label, len(list_intersect(words, own)) / len(own) AS containment FROM lines JOIN sets
-  ON len(list_intersect(words, own)) >= ceil(round({op9_licenses.CONTAINMENT} * len(own), 9))),
-more AS (SELECT r, list(DISTINCT label) AS labels, max(containment) AS best FROM met GROUP BY r),
-base AS (SELECT r, doc_id, len(w) AS n_words, {", ".join(f"{e} AS at_{label}" for label, e in at.items())} FROM d),
-b AS (
-  SELECT r, doc_id, n_words, {" || ".join(f"at_{label}" for label in at)} AS places, list_sort(list_filter([{labels}], lambda x: x IS NOT NULL)) AS base FROM base)
-SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
-       array_to_string(base, ',') AS base_labels,
-       array_to_string(list_sort(list_distinct(base || coalesce(more.labels, []))), ',') AS labels,
-       CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
-FROM b LEFT JOIN more USING (r)
+WITH t(label, own, telling, others, span, least) AS (VALUES {", ".join(rows)}),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}'), lambda x: x <> '') AS w
+  FROM documents),
+numbered AS (SELECT r, w, unnest(range(0, len(w))) AS k FROM d WHERE len(w) > 0),
+base AS ({phrases}),
+runs AS (
+  SELECT r, label, telling, others, least, len(own) AS m, list_distinct(w[k + 1 : k + span]) AS run, own
+  FROM numbered JOIN t ON list_contains(own, w[k + 1])),
+held AS (SELECT r, label, least, m, len(list_intersect(run, own)) AS n FROM runs WHERE list_has_all(run, telling) AND NOT list_has_any(run, others)),
+met AS (SELECT r, label, n / m AS share FROM held WHERE n >= least),
+found AS (SELECT r, label FROM base UNION SELECT r, label FROM met),
+labels AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels FROM found GROUP BY r),
+bases AS (SELECT r, count(*) AS n, min(k) AS first, max(k) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
+best AS (SELECT r, max(share) AS share FROM met GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, b.first::BIGINT AS first_word, b.last::BIGINT AS last_word,
+       coalesce(b.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+       CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN bases b USING (r) LEFT JOIN labels l USING (r) LEFT JOIN best USING (r)
 """
 
 
