@@ -480,3 +480,11 @@ SELECT k AS id, c_name AS name, (SELECT arg_max(v, (h, r)) FROM a WHERE a.k = b.
        (SELECT arg_max(v, (h, r)) FROM p WHERE p.k = b.k) AS payment_method FROM b"""
 
 ORACLE_SQL["deleted_entries_delta"] = _with([BASE, DELETED_ENTRIES], "SELECT id, table_name, table_id, created_at, updated_at FROM de")
+
+ORACLE_SQL["csv_reordered"] = ORACLE_SQL["csv_ingest_rows"]
+ORACLE_SQL["file_replaced_stream"] = ORACLE_SQL["csv_ingest_rows"]
+
+ORACLE_SQL["dq_running"] = """
+WITH loads AS (SELECT (s_nationkey % 3)::INTEGER AS load, count(*) AS n, count(*) FILTER (s_suppkey % 7 = 0) AS nulls FROM supplier GROUP BY 1),
+running AS (SELECT load, sum(n) OVER (ORDER BY load)::BIGINT AS total_count, sum(nulls) OVER (ORDER BY load)::BIGINT AS null_count FROM loads)
+SELECT *, CASE WHEN total_count > 0 AND null_count < 10 THEN 'load_target' ELSE 'notify' END AS route FROM running"""

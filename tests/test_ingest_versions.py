@@ -1,0 +1,156 @@
+"""CSV columns by name, metrics that add up, files replaced in place, balanced ranges."""
+
+import gzip
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tidewater.operators.quality import ROUTE_LOAD, ROUTE_NOTIFY
+from tidewater.plans import ingest
+from tidewater.plans.ingest import csv_ingest, gated_ingest, ledger, target_metrics
+from tidewater.schemas import SAMPLE
+from tidewater.sources.csv_io import HeaderError, bound_headers, read_headered_csv
+from tidewater.sources.extract import balanced_ranges, read_jdbc_ranges
+from tidewater.streaming.file_versions import FileVersionsReader, folder_versions, run_replaced_files
+
+
+def put(path, text, pack=False):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with gzip.open(path, "wt") if pack else open(path, "w", newline="") as f:
+        f.write(text)
+
+
+def rows(df):
+    return sorted(((r.id, r.name, r.amount) for r in df.collect()), key=str)
+
+
+def test_columns_are_taken_by_name_file_by_file(spark, tmp_path):
+    at = f"{tmp_path}/in"
+    put(f"{at}/a.csv", "id,name,amount\n1,one,1.5\n")
+    put(f"{at}/b.csv", '﻿"amount",id,"name"\n2.5,2,"t,wo"\n')
+    put(f"{at}/c c.csv.gz", "name,amount,id\nthree,3.5,3\n", pack=True)
+    put(f"{at}/empty.csv", "")
+    put(f"{at}/head.csv", "id,name,amount\n")
+    put(f"{at}/_hidden.csv", "what,ever\n")
+    want = [(1, "one", 1.5), (2, "t,wo", 2.5), (3, "three", 3.5)]
+    assert rows(read_headered_csv(spark, at, SAMPLE)) == want
+    assert rows(read_headered_csv(spark, f"{at}/[ab]*.csv", SAMPLE)) == want[:2]
+    assert sorted(len(f) for f in bound_headers(spark, at, SAMPLE).values()) == [1, 1, 2]
+    assert rows(read_headered_csv(spark, f"{at}/empty.csv", SAMPLE)) == []
+    assert rows(read_headered_csv(spark, f"{at}/a.csv", SAMPLE, by_name=False)) == want[:1]
+
+
+@pytest.mark.parametrize("header", ["id,name", "id,name,amount,extra", "id,name,name,amount", "id,name,Amount", "1,one,1.5"])
+def test_a_wrong_header_is_refused_with_its_file(spark, tmp_path, header):
+    put(f"{tmp_path}/in/good.csv", "id,name,amount\n1,one,1.5\n")
+    put(f"{tmp_path}/in/wrong.csv", header + "\n")
+    with pytest.raises(HeaderError, match="wrong.csv"):
+        csv_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/target")
+    assert not os.path.exists(f"{tmp_path}/target")
+
+
+def test_a_load_reads_no_row_of_the_target(spark, tmp_path, monkeypatch):
+    target = f"{tmp_path}/target"
+    put(f"{tmp_path}/one.csv", "id,name,amount\n1,a,1\n,b,2\n")
+    put(f"{tmp_path}/two.csv", "name,id,amount\nc,3,3\n")
+    assert csv_ingest(spark, f"{tmp_path}/one.csv", target).total_count == 2
+    # the rows loaded before can't be read any more
+    for folder, _, files in os.walk(target):
+        for f in files:
+            if f.endswith(".parquet"):
+                put(f"{folder}/{f}", "no parquet file")
+    now = csv_ingest(spark, f"{tmp_path}/two.csv", target)
+    assert (now.total_count, now.null_count, now.route) == (3, 1, ROUTE_LOAD)
+    monkeypatch.setattr(ingest, "dq_metrics", lambda *a: pytest.fail("the target was measured"))
+    assert gated_ingest(spark, f"{tmp_path}/two.csv", f"{tmp_path}/stage", target, check="target").route == ROUTE_LOAD
+
+
+def test_metrics_of_repeated_lost_and_empty_loads(spark, tmp_path):
+    target = f"{tmp_path}/target"
+    assert ledger(spark, target).collect() == [] and target_metrics(spark, target).route == ROUTE_NOTIFY
+    put(f"{tmp_path}/one.csv", "id,name,amount\n" + ",a,1\n" * 12 + "5,b,2\n")
+    for _ in range(2):
+        now = csv_ingest(spark, f"{tmp_path}/one.csv", target, load_id="one")
+        assert (now.total_count, now.null_count, now.route) == (13, 12, ROUTE_NOTIFY)
+    put(f"{tmp_path}/none.csv", "id,name,amount\n")
+    now = csv_ingest(spark, f"{tmp_path}/none.csv", target, load_id="none")
+    assert (now.total_count, now.null_count) == (13, 12)
+    # a load that ended between its rows and its entry
+    read_headered_csv(spark, f"{tmp_path}/one.csv", SAMPLE).write.parquet(f"{target}/load_id=lost")
+    now = target_metrics(spark, target)
+    assert (now.total_count, now.null_count) == (26, 24) == tuple(spark.read.parquet(target).agg(F.count("*"), F.count_if(F.col("id").isNull())).first())
+    assert {r.load_id: r.total_count for r in ledger(spark, target).collect()} == {"one": 13, "none": 0, "lost": 13}
+
+
+def test_a_file_replaced_in_place_is_loaded_again_and_a_restart_adds_nothing(spark, tmp_path):
+    incoming, target = f"{tmp_path}/in", f"{tmp_path}/target"
+    run = lambda: run_replaced_files(spark, incoming, target)
+    run()  # a folder that isn't there yet
+    put(f"{incoming}/sample.csv", "id,name,amount\n1,a,1\n")
+    put(f"{incoming}/other one.csv", "amount,name,id\n9,x,9\n")
+    run()
+    run()
+    first = [(1, "a", 1.0), (9, "x", 9.0)]
+    assert rows(spark.read.parquet(target)) == first
+    put(f"{incoming}/sample.csv", "id,name,amount\n1,a,1\n2,b,2\n")
+    run()
+    assert rows(spark.read.parquet(target)) == sorted([*first, (1, "a", 1.0), (2, "b", 2.0)], key=str)
+    os.utime(f"{incoming}/sample.csv", (1_700_000_000, 1_700_000_000))  # an older time is another version too
+    run()
+    assert spark.read.parquet(target).count() == 6
+    os.remove(f"{incoming}/other one.csv")
+    run()
+    assert spark.read.parquet(target).count() == 6
+
+
+def test_offsets_name_what_changed(tmp_path):
+    put(f"{tmp_path}/a.csv", "1")
+    put(f"{tmp_path}/.b.crc", "1")
+    reader = FileVersionsReader(str(tmp_path))
+    start = reader.latestOffset()
+    assert list(start["files"]) == [f"{tmp_path}/a.csv"] and reader.initialOffset() == {"files": {}}
+    put(f"{tmp_path}/a.csv", "12")
+    put(f"{tmp_path}/c.csv", "1")
+    [part] = reader.partitions(start, reader.latestOffset())
+    assert [(p.rsplit("/", 1)[1], n) for p, _, n in reader.read(part)] == [("a.csv", 2), ("c.csv", 1)]
+    assert reader.partitions(start, start)[0].rows == []
+    assert folder_versions(f"{tmp_path}/nothing") == {}
+
+
+def shares(df, ranges):
+    """Rows of each range; every row has to be in one range exactly."""
+    hits = sum((F.coalesce(F.expr(f"({r})"), F.lit(False)).cast("int") for r in ranges), F.lit(0))
+    assert df.where(hits != 1).count() == 0
+    return [df.where(r).count() for r in ranges]
+
+
+def test_ranges_are_balanced_on_a_skewed_key(spark):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    skewed = orders.select((F.col("o_orderkey") * F.col("o_orderkey")).alias("k"))
+    found = shares(skewed, balanced_ranges(skewed, "k", 8))
+    assert len(found) == 8 and max(found) < 1.2 * skewed.count() / 8
+    width = skewed.agg(F.max("k")).first()[0] / 8
+    assert skewed.where(F.col("k") < width).count() > 2 * max(found)  # what ranges of equal width give
+
+
+def test_a_hot_key_has_a_range_to_itself(spark):
+    n = 9000
+    keys = spark.range(n).select(F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 101 == 1, None).otherwise(F.col("id")).cast("long").alias("k"))
+    ranges = balanced_ranges(keys, "k", 9)
+    found = dict(zip(ranges, shares(keys, ranges), strict=True))
+    assert found["k >= 500 AND k < 501"] == n // 3 + 1 and len(ranges) <= 10
+    assert sorted(found.values())[-2] < 1.6 * n / 9
+
+
+def test_ranges_of_few_and_no_keys(spark):
+    none = spark.createDataFrame([], "k long")
+    assert balanced_ranges(none, "k", 8) == ["1 = 1"] and balanced_ranges(spark.range(5).toDF("k"), "k", 1) == ["1 = 1"]
+    one = spark.createDataFrame([(7,)] * 5 + [(None,)], "k long")
+    assert sum(shares(one, balanced_ranges(one, "k", 4))) == 6
+    sample = spark.range(10).toDF("k")
+    assert sum(shares(spark.range(-50, 100).toDF("k"), balanced_ranges(sample, "k", 4))) == 150
+    with pytest.raises(ValueError):
+        balanced_ranges(one, "k", 0)
+    assert callable(read_jdbc_ranges)

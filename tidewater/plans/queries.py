@@ -27,10 +27,12 @@ from ..operators.watermark import LoadPlan, high_water_mark, upsert_watermarks,
 from ..session import checkpoint_dir, materialize
 from ..sources.csv_io import read_stage_csv, write_landing
 from ..sources.extract import SOURCE_COLUMNS, extract
+from ..sources.files import Files
 from ..sources.inline import day_activity
 from ..sources.table_store import DimensionStore
 from .fixtures import Scenario, day_ts, delete_log, early_children, run_of_day, two_children
 from ..streaming.file_ingest import run_file_ingest
+from ..streaming.file_versions import run_replaced_files
 from .ingest import csv_ingest, gated_ingest
 from .ingest import gated_append as _gated_append
 from .pipeline import customer_pipeline
@@ -440,6 +442,43 @@ def csv_ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/target").select("id", "name", "amount")
 
 
+def csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as one CSV load of files whose headers name the columns in different orders."""
+    root = _scratch(spark, "tidewater-reordered")
+    sup = _samples(spark, sf_dir)
+    early = F.col("s_nationkey") < 12
+    for rows, columns in ((sup.where(early), ["id", "name", "amount"]), (sup.where(~early), ["amount", "id", "name"])):
+        rows.select(*columns).write.mode("append").option("header", "true").csv(f"{root}/in")
+    csv_ingest(spark, f"{root}/in", f"{root}/target")
+    return spark.read.parquet(f"{root}/target").select("id", "name", "amount")
+
+
+def dq_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target's metrics after each of three loads of suppliers, the second of them run twice."""
+    root = _scratch(spark, "tidewater-running")
+    sup = _samples(spark, sf_dir).withColumn("id", F.when(F.col("id") % 7 != 0, F.col("id")))
+    rows = []
+    for load in (0, 1, 1, 2):
+        sup.where(F.col("s_nationkey") % 3 == load).drop("s_nationkey").write.mode("overwrite").option("header", "true").csv(f"{root}/in{load}")
+        now = csv_ingest(spark, f"{root}/in{load}", f"{root}/target", load_id=f"load{load}")
+        rows.append((load, now.total_count, now.null_count, now.route))
+    return spark.createDataFrame(rows, "load int, total_count long, null_count long, route string").distinct()
+
+
+def file_replaced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as one CSV file that is replaced in place by the next lot; the stream is started four
+    times, twice without anything new.  Returns all rows loaded."""
+    root = _scratch(spark, "tidewater-replaced")
+    sup = _samples(spark, sf_dir)
+    files = Files(spark, root)
+    for lot in (0, 1):
+        sup.where(F.col("s_nationkey") % 2 == lot).drop("s_nationkey").coalesce(1).write.option("header", "true").csv(f"{root}/lot{lot}")
+        files.replace(files.matching(f"{root}/lot{lot}/part-*")[0], "incoming/sample.csv")
+        for _ in range(2):
+            run_replaced_files(spark, files.qualified("incoming"), f"{root}/target")
+    return spark.read.parquet(f"{root}/target").select("id", "name", "amount")
+
+
 def gated_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as two gated CSV loads; in the second every id is missing, so its rows stay staged."""
     root = _scratch(spark, "tidewater-gated-ingest")
@@ -544,4 +583,7 @@ QUERIES = {
     "children_fanout_literal": children_fanout_literal,
     "children_reduced_corrected": children_reduced_corrected,
     "deleted_entries_delta": deleted_entries_delta,
+    "csv_reordered": csv_reordered,
+    "dq_running": dq_running,
+    "file_replaced_stream": file_replaced_stream,
 }

@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.watermark import LoadPlan
@@ -56,6 +57,33 @@ def read_jdbc(
     return reader.load()
 
 
+def balanced_ranges(keys: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list[str]:
+    """Predicates that cut a table into at most ``parts`` ranges of about as many rows each.
+
+    Ranges of equal width (``read_jdbc``'s bounds) are as uneven as the key is skewed.  These are drawn
+    at quantiles of ``keys``, which may be the table or a sample of it (one aggregation of a sketch).  A key
+    that fills a range or more has one to itself.  NULL keys go with the first; the predicates take
+    every row once, whatever they were drawn from.  Use them as ``predicates`` of ``spark.read.jdbc``
+    (``read_jdbc_ranges``)."""
+    if parts < 1:
+        raise ValueError("a table has one part at least")
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)]) if parts > 1 else F.array(F.lit(0.5))
+    found = keys.agg(F.percentile_approx(F.col(column).cast("long"), shares, accuracy).alias("at")).first()["at"]
+    if parts == 1 or not found:
+        return ["1 = 1"]
+    # A value that two quantiles share fills a range: it is cut out, from itself to the next number.
+    twice = {a for a, b in zip(found, found[1:], strict=False) if a == b}
+    cuts = sorted({*found, *(v + 1 for v in twice)})
+    ranges = [f"{column} < {cuts[0]} OR {column} IS NULL"]
+    ranges += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [*ranges, f"{column} >= {cuts[-1]}"]
+
+
+def read_jdbc_ranges(spark: SparkSession, url: str, table: str, ranges: Sequence[str], properties: dict | None = None) -> DataFrame:
+    """Parallel JDBC read with a task for each of ``ranges``."""
+    return spark.read.jdbc(url, table, predicates=list(ranges), properties={"preferTimestampNTZ": "true", **(properties or {})})
+
+
 def select_source(df: DataFrame, columns: Sequence[str] | None, predicate: Column | None = None) -> DataFrame:
     """Project the source columns and apply the optional predicate."""
     out = df.select(*columns) if columns else df

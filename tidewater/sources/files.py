@@ -31,6 +31,25 @@ class Files:
         at = self._path(folder)
         return sorted(f.getPath().getName() for f in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
+    def matching(self, pattern: str) -> list[str]:
+        """The data files that a path or pattern names, as Spark would read them: qualified, in order."""
+        found = self._fs.globStatus(self._jvm.org.apache.hadoop.fs.Path(pattern)) or []
+        files = [x for f in found for x in (self._fs.listStatus(f.getPath()) if f.isDirectory() else [f])]
+        return sorted(f.getPath().toString() for f in files if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+
+    def first_line(self, path: str, most: int = 1 << 16) -> str:
+        """The first line of a text file (unpacked, if its name says that it is packed), of at most ``most`` bytes."""
+        at = self._jvm.org.apache.hadoop.fs.Path(path)
+        stream = self._fs.open(at)
+        try:
+            codec = self._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self._conf).getCodec(at)
+            text = stream if codec is None else codec.createInputStream(stream)
+            head = self._jvm.org.apache.commons.io.input.BoundedInputStream(text, most)
+            lines = self._jvm.org.apache.commons.io.IOUtils.lineIterator(head, "UTF-8")
+            return lines.next() if lines.hasNext() else ""
+        finally:
+            stream.close()
+
     def read(self, name: str) -> str:
         stream = self._fs.open(self._path(name))
         try:
@@ -64,5 +83,11 @@ class Files:
                 return False
             raise
 
+    def replace(self, source: str, name: str) -> None:
+        """Puts a copy of the file ``source`` at ``name``, over what stands there."""
+        to = self._path(name)
+        self._fs.mkdirs(to.getParent())
+        self._jvm.org.apache.hadoop.fs.FileUtil.copy(self._fs, self._jvm.org.apache.hadoop.fs.Path(source), self._fs, to, False, True, self._conf)
+
     def remove(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
