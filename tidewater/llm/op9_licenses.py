@@ -19,7 +19,7 @@ Beside the join stands the base scan: the places where the words of a known phra
 Defined cases: null text is empty; an empty text has no words and meets nothing; rows alike in doc_id
 and text have like results, each its own row; an empty table gives an empty result; further columns are
 ignored.  The templates are a fixed list in the program, so what they become can be broadcast; nothing
-of the documents is.  A window is part of one row, so no group is unbounded.
+of the documents is.  A window is part of one row, and nothing is shuffled before a template is met.
 """
 
 from __future__ import annotations
@@ -90,13 +90,13 @@ def rarity(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def windows(docs: DataFrame, rare: list[str], length: int) -> DataFrame:
-    """(doc_id, text_hash, window, words) of the texts that hold one of the words ``rare``: runs of twice
-    ``length`` words, one from every ``length``-th word on."""
+    """(doc_id, text_hash, words) of the texts that hold one of the words ``rare``: runs of twice ``length``
+    words, one from every ``length``-th word on."""
     d = columns_of(docs, "doc_id", "text").where(F.col("text").rlike("(?i)" + "|".join(rare)))
     # out of an explode, the words are made once for all that reads them
     d = d.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.array(text_words(F.col("text")))).alias("all"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("all") - length - 1, F.lit(0)), F.lit(length))
-    return d.select("doc_id", "text_hash", F.posexplode(F.transform(starts, lambda a: F.slice("all", a + 1, 2 * length))).alias("window", "words"))
+    return d.select("doc_id", "text_hash", F.explode(F.transform(starts, lambda a: F.slice("all", a + 1, 2 * length))).alias("words"))
 
 
 def most_held(words: Column, own: Column, telling: Column, others: Column, length: Column) -> Column:
@@ -132,12 +132,13 @@ def matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     ranks = F.create_map(*[x for w, i in order.items() for x in (F.lit(w), F.lit(i))])
     some = F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary)))
     known = F.array_sort(F.transform(some, lambda w: F.struct(F.element_at(ranks, w).alias("rank"), w.alias("word"))))
-    cut = cut.select("doc_id", "text_hash", "window", "words", F.transform(known, lambda x: x["word"]).alias("known"))
-    pairs = cut.select("doc_id", "text_hash", "window", "words", F.size("known").alias("n"), F.posexplode("known").alias("place", "word")).join(prefix, "word")
-    pairs = pairs.groupBy("doc_id", "text_hash", "window", "template").agg(
-        F.min("at").alias("at"), F.min("place").alias("place"), F.first("n").alias("n"), F.first("words").alias("words")
-    )
-    left = pairs.join(given, "template").where((F.col("n") >= F.col("c")) & (F.col("m") - F.col("at") >= F.col("c")) & (F.col("n") - F.col("place") >= F.col("c")))
+    cut = cut.select("doc_id", "text_hash", "words", F.explode(F.array(F.transform(known, lambda x: x["word"]))).alias("known"))
+    here = F.filter(F.transform("known", lambda w, i: F.struct(i.alias("place"), w.alias("word"))), lambda x: x["word"].isin(rare))
+    pairs = cut.select("doc_id", "text_hash", "words", "known", F.inline(here)).join(prefix, "word").join(given, "template")
+    n = F.size("known")
+    # of a template's prefix words in a window, the first stands for the pair: none before it is there
+    first = ~F.arrays_overlap(F.slice("own", F.lit(1), F.col("at")), "known")
+    left = pairs.where(first & (n >= F.col("c")) & (F.col("m") - F.col("at") >= F.col("c")) & (n - F.col("place") >= F.col("c")))
     best = most_held(F.col("words"), F.col("own"), F.col("telling"), F.col("others"), F.col("length"))
     met = left.select("doc_id", "text_hash", "label", "m", "c", F.explode(F.array(best)).alias("held")).where(F.col("held") >= F.col("c"))
     return met.select("doc_id", "text_hash", "label", (F.col("held") / F.col("m")).alias("containment"))
