@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scd import CURRENT, RunContext, any_distinct, new_version_columns
 from ..schemas import DIMENSION, DIMENSION_COLUMNS
+from ..session import materialize
 
 
 def _enrich(customer: DataFrame, address: DataFrame, payment: DataFrame) -> DataFrame:
@@ -188,7 +189,8 @@ def classify_corrected(
 
     Columns: id, ``_new`` (the would-be new version as a struct), ``_insert``, ``_close``, ``_orphan``.
     """
-    staged = reduce_staged(customer, address, payment)
+    # One row a touched id, read three times: written once, or each stage is read as often.
+    staged = materialize(reduce_staged(customer, address, payment))
     ids = staged.select("id")
     cur = current.join(ids, "id", "left_semi").select("id", F.struct(*DIMENSION_COLUMNS).alias("_row"))
     old = latest_closed(history, ids)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -60,6 +60,35 @@ def high_water_mark(df: DataFrame, table_name: str, column: str = "updated_at")
     )
 
 
+#: Stands for a missing time: a column chunk of nothing but NULL has no greatest value in its footer.
+NO_MARK = -(1 << 63)
+
+
+def mark_micros(column: str) -> Column:
+    """A timestamp as microseconds since 1970 (``NO_MARK`` for NULL), a number that Parquet keeps the
+    greatest of in its footers."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(column))
+    return F.coalesce(micros, F.lit(NO_MARK))
+
+
+def greatest_in_footers(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row (``greatest``): the largest value of a Parquet table's column, from the files' footers alone
+    where Spark can push the aggregate there (whole numbers and dates), else by a scan of the column.
+
+    A session of its own reads through the source that pushes aggregates; the caller's settings stay."""
+    session = spark.newSession()
+    v1 = [s for s in session.conf.get("spark.sql.sources.useV1SourceList").split(",") if s != "parquet"]
+    session.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.max(column).alias("greatest"))
+
+
+def footer_mark(spark: SparkSession, path: str, column: str) -> dt.datetime | None:
+    """The high-water mark of a table that holds it as ``mark_micros`` in ``column``; no row is read."""
+    micros = greatest_in_footers(spark, path, column).first()["greatest"]
+    return None if micros in (None, NO_MARK) else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+
+
 def upsert_watermarks(control: DataFrame, new_marks: DataFrame) -> DataFrame:
     """Merge new marks into the control table; a NULL new mark keeps the stored one.
 

@@ -6,7 +6,7 @@ Per run:
 2. per source table, extract in full or above its stored high-water mark (the predicate is
    pushed into the source scan), land it (CSV like a database ``COPY``, or Parquet) and
    load the stage table from the landing files;
-3. compute the new marks from the stages (one job for all tables; NULL keeps the old mark);
+3. take the new marks from the stages' footers, without reading a row (NULL keeps the old mark);
 4. full load: build the dimension from the stages and replace it (with a backup);
    delta load: merge the stages into the dimension (corrected or literal mode), reading and
    writing only the buckets that hold the delta's ids; a child row without a customer waits in
@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scd import RunContext
 from ..operators import scd2, transform
-from ..operators.watermark import LoadPlan, high_water_mark, resolve_load, upsert_watermarks, watermark_value
-from ..schemas import SOURCE_SCHEMAS
+from ..operators.watermark import LoadPlan, footer_mark, resolve_load, upsert_watermarks, watermark_value
+from ..schemas import SOURCE_SCHEMAS, WATERMARK
 from ..session import materialize
-from ..sources.csv_io import read_stage_csv, write_landing, write_stage
+from ..sources.csv_io import STAGE_MARK, read_stage_csv, write_landing, write_stage
 from ..sources.extract import SOURCE_COLUMNS, extract
 from ..sources.table_store import Commit, CommitConflict, DimensionStore
 
@@ -63,7 +63,7 @@ def land_and_stage(
     else:
         landed = spark.read.parquet(landing)
     write_stage(landed, stage)
-    return spark.read.parquet(stage)
+    return spark.read.parquet(stage).drop(STAGE_MARK)
 
 
 def customer_pipeline(
@@ -95,11 +95,8 @@ def customer_pipeline(
         df = extract(src.select(*cols), plan, None if plan.is_full else watermark_value(marks, t), cols)
         staged[t] = land_and_stage(spark, df, t, workdir, landing_format)
 
-    new_marks = None
-    for t in tables:
-        m = high_water_mark(staged[t], t)
-        new_marks = m if new_marks is None else new_marks.unionByName(m)
-    merged_marks = materialize(upsert_watermarks(marks, new_marks))
+    read = [(t, footer_mark(spark, f"{workdir}/stage/{t}", STAGE_MARK)) for t in tables]
+    merged_marks = upsert_watermarks(marks, spark.createDataFrame(read, WATERMARK))
 
     deleted_log = staged.get("deleted_entries")
     for attempt in range(1, ATTEMPTS + 1):

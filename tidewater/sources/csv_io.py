@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.watermark import mark_micros
 from .files import Files
 
 # One set of options for the writer, the batch readers and the stream reader.  NULL is an
@@ -108,6 +109,11 @@ def write_landing(df: DataFrame, path: str, fmt: str = "parquet", header: bool =
         w.format(fmt).save(path)
 
 
-def write_stage(df: DataFrame, path: str) -> None:
-    """Truncate-and-load a stage table (overwrite of its Parquet directory)."""
-    df.write.mode("overwrite").parquet(path)
+#: The stage's own column: its rows' mark as a number.
+STAGE_MARK = "_mark"
+
+
+def write_stage(df: DataFrame, path: str, mark: str = "updated_at") -> None:
+    """Truncate-and-load a stage table (overwrite of its Parquet directory), with the mark as a number
+    beside its columns, so that the stage's high-water mark is read from its footers."""
+    df.withColumn(STAGE_MARK, mark_micros(mark)).write.mode("overwrite").parquet(path)
