@@ -165,12 +165,33 @@ def test_decontamination_of_awkward_rows(spark):
     assert op7_decontaminate.judged(empty_docs(spark), items).count() == 0
 
 
-def test_decontamination_in_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(op7_decontaminate, "BLOCK", 300)
-    same(queries.QUERIES["op7_benchmark_hits"](spark, SF), queries.ORACLE_SQL["op7_benchmark_hits"])
-    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+@pytest.mark.parametrize("slots, hot", [(4, 3), (22, 2)])
+def test_decontamination_with_a_full_filter_and_hot_shingles(spark, monkeypatch, slots, hot):
+    """Neither a filter that lets everything through nor salted shingles change what is found."""
+    monkeypatch.setattr(op7_decontaminate, "LEAST_SLOTS", slots)
+    monkeypatch.setattr(op7_decontaminate, "MOST_SLOTS", max(slots, 6))
+    monkeypatch.setattr(op7_decontaminate, "HOT", hot)
+    given, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    passage = items.first().text
+    copies = spark.range(400).selectExpr("id + 100000 as doc_id").withColumn("text", F.lit(passage))
+    docs = given.select("doc_id", "text").unionByName(copies)
+    same(
+        op7_decontaminate.judged(docs, items).select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"),
+        queries.ORACLE_SQL["op7_benchmark_hits"],
+        views={"documents": as_arrow(docs, "doc_id", "text")},
+    )
     dirty = op7_decontaminate.judged(docs, items).where("contaminated").count()
-    assert 0 < dirty == docs.count() - op7_decontaminate.clean(docs, items).count()
+    assert 400 < dirty == docs.count() - op7_decontaminate.clean(docs, items).count()
+
+
+def test_decontamination_collects_no_windows(spark, monkeypatch):
+    """What reaches the driver: numbers, the widths of shingles, and the filters' tables."""
+    seen = []
+    real = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: seen.append(self.columns) or real(self))
+    given, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    plan = op7_decontaminate.judged(given, items)._jdf.queryExecution().executedPlan().toString()
+    assert seen and {c for columns in seen for c in columns} == {"width", "coalesce(sum(seen), 0)"} and "Join" in plan
 
 
 def vectors(spark, rows):
