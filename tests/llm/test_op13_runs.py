@@ -5,12 +5,13 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import op13_runs
-from tidewater.llm.queries import QUERIES
+from tidewater.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -118,6 +119,9 @@ def test_awkward_rows(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     got = rows_of(QUERIES["op13_periodic_runs"](spark, str(tmp_path)))
     assert got == sorted((by_hand(i, t) for i, t in rows), key=str)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == sorted(con.sql(ORACLE_SQL["op13_periodic_runs"]).fetchall(), key=str)
     assert op13_runs.detected(docs.where("false")).count() == 0
     told = {r.doc_id: r for r in op13_runs.detected(docs.where("doc_id in (2, 6, 8)")).collect()}
     assert [tuple(x) for x in told[6].runs] == [(0, 7, 1)] and told[6].collapsed == "z" and told[8].collapsed == "no runs here at all" and told[2].collapsed == ""

@@ -345,6 +345,41 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faults f ON f.conv
 LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
+_CRC32 = r"""xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split({}, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+crc AS (SELECT doc_id, {_CRC32.format("doc_id::VARCHAR")} AS h FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+turns AS (
+  SELECT r, len(w) AS n, (h // 10) % len(w) AS a, 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS p
+  FROM d JOIN crc USING (doc_id) WHERE h % 10 = 0 AND len(w) > 0),
+given AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d),
+placed AS (SELECT r, i, coalesce(CASE WHEN i >= a THEN a + (i - a) % p END, i) AS j FROM given LEFT JOIN turns USING (r)),
+said AS (SELECT p.r, p.i, g.x FROM placed p JOIN given g ON g.r = p.r AND g.i = p.j),
+five AS (
+  SELECT r, i, [x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o] AS x, lead(i, 4) OVER o AS whole
+  FROM said WINDOW o AS (PARTITION BY r ORDER BY i)),
+-- A run of period q agrees with itself q words on, for five words at least from each of its first places.
+agree AS (
+  SELECT a.r, a.i, b.i - a.i AS q FROM five a JOIN five b ON a.r = b.r AND a.x = b.x AND b.i > a.i JOIN d ON d.r = a.r
+  WHERE a.whole IS NOT NULL AND b.whole IS NOT NULL AND 4 * (b.i - a.i) <= len(w)),
+stretches AS (
+  SELECT r, q, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS part FROM agree) GROUP BY r, q, part
+  HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM stretches s WHERE NOT EXISTS (
+    SELECT 1 FROM stretches t WHERE t.r = s.r AND t.q < s.q AND s.q % t.q = 0 AND t.start <= s.start AND t.start + t.length >= s.start + s.length)),
+told AS (SELECT r, count(*) AS n, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS said FROM runs GROUP BY r),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY length::DOUBLE / q DESC, start, q) AS place FROM runs) WHERE place = 1),
+gone AS (SELECT DISTINCT r, unnest(range(start + q, start + length)) AS i FROM runs),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS said FROM said ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(t.n, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length, b.q::BIGINT AS period,
+       (1000 * b.length // b.q)::BIGINT AS exponent_milli, sha256(coalesce(t.said, '')) AS runs_sha256, sha256(coalesce(k.said, '')) AS collapsed_sha256
+FROM d LEFT JOIN told t USING (r) LEFT JOIN best b USING (r) LEFT JOIN kept k USING (r)
+"""
+
 ORACLE_SQL = {
     "op1_mix_sources": OP1,
     "op2_url_filters": OP2,
@@ -354,4 +389,5 @@ ORACLE_SQL = {
     "op9_license_scan": _op9(),
     "op10_chat_format": _op10(),
     "op11_conversation_repair": OP11,
+    "op13_periodic_runs": OP13,
 }
