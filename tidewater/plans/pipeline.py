@@ -85,7 +85,7 @@ def customer_pipeline(
     ``deletes``: None, 'soft' (customer.deleted_at) or 'hard' (deleted_entries log).
     """
     plan = resolve_load(load_type, run_type)
-    workdir = workdir or f"{store.root}/_work"
+    workdir = workdir or f"{store.root}/_work/{store.writer}"
     marks = store.watermarks()
     tables = list(TABLES) + (["deleted_entries"] if deletes == "hard" else [])
     staged = {}

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.files import Files
+
 
 # Starting points for a large cluster (100 TB-class inputs); AQE then coalesces shuffle
 # partitions to the advisory size and splits skewed ones.
@@ -66,14 +68,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def _scratch_of(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidewater/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application has materialized.  Only for its end, or between runs: DataFrames
+    that still read such a table can't be computed afterwards."""
+    Files(spark, _scratch_of(spark)).remove("")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint directory.
 
     One job (``Dataset.checkpoint`` would compute an uncached plan twice), the result is
     reliable storage that survives executor loss (never ``localCheckpoint``), and the
-    re-read carries file statistics the optimizer can use for join planning.
+    re-read carries file statistics the optimizer can use for join planning.  ``release`` removes
+    an application's tables.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tidewater/{uuid.uuid4().hex}"
+    path = f"{_scratch_of(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

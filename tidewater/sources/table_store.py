@@ -86,6 +86,7 @@ class DimensionStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.files = Files(spark, self.root)
+        self.writer = uuid.uuid4().hex  # names this writer's scratch folder
         self._buckets = buckets
         self._last: Commit | None = None
         self._known = False
@@ -298,13 +299,14 @@ class DimensionStore:
         found = (
             self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{self.root}/{f}" for f in self.files.names("") if f in SWEPT])
             .select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "modificationTime")
-            .where(F.col("modificationTime") < cutoff)
-            .select(F.replace("path", F.lit(_one_slash(top)), F.lit("")).alias("path"))
+            .select(F.replace("path", F.lit(_one_slash(top)), F.lit("")).alias("path"), (F.col("modificationTime") < cutoff).alias("old"))
         )
         kind = F.split("path", "/")[0]
         folder = F.concat_ws("/", F.slice(F.split("path", "/"), 1, 2))
-        loose_rows = found.where(kind == "rows").join(named, "path", "left_anti").select("path")
-        loose_folders = found.where(kind != "rows").select(folder.alias("path")).distinct().where(~F.col("path").isin(sorted(folders)))
+        loose_rows = found.where((kind == "rows") & F.col("old")).join(named, "path", "left_anti").select("path")
+        # a folder goes as a whole, if all its files are old
+        whole = found.where(kind != "rows").groupBy(folder.alias("path")).agg(F.min("old").alias("old")).where("old").select("path")
+        loose_folders = whole.where(~F.col("path").isin(sorted(folders)))
         # Listed and written down before anything goes.  Commits go first: no reader shall find one whose
         # files are gone.
         loose, removed = materialize(loose_rows.unionByName(loose_folders)), 0
