@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import time
 import types
 import uuid
 from collections.abc import Callable
@@ -12,6 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FREE_SECONDS = 5
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -34,8 +36,21 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of earlier steps.
+
+    Spark removes a shuffle's files once its driver's garbage collector finds that nothing refers to it,
+    which comes late on a driver that has little to do, while the executors' disks fill.  Asked for at most
+    every ``FREE_SECONDS``, so that short jobs don't notice."""
+    kept = once(("freed",), lambda: [0.0])
+    if time.monotonic() - kept[0] > FREE_SECONDS:
+        spark.sparkContext._jvm.System.gc()
+        kept[0] = time.monotonic()
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends there, and it is computed once."""
+    free_shuffles(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/tidewater-llm/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
