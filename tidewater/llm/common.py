@@ -13,6 +13,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import Files
+
 FREE_SECONDS = 5
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -56,6 +58,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Removes a table that ``written`` made and that nothing reads any more."""
+    folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+    for folder in folders:
+        if "/tidewater-llm/" not in folder:
+            raise ValueError(f"not a table of ours: {folder}")
+        Files(table.sparkSession, folder).remove("")
+
+
 def lower_ascii(c: Column) -> Column:
     """``c`` with A-Z lower-cased and nothing else changed."""
     return F.translate(c, UPPER, UPPER.lower())

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import columns_of, parts_for, written
+from .common import columns_of, discard, parts_for, written
 from .components import components
 from .sorted_groups import grouped
 from .words import PLAIN, STEP, Words, mixed, runs, steps
@@ -260,12 +260,16 @@ def linked(tiled: DataFrame, words: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def tiles_of(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """(node, text_hash, one, family, tiles, tile, hub) of the classes that share a key with another."""
+def meetings(sets: DataFrame) -> DataFrame:
+    """(one, hub, weight): the sets that share keys with a smaller one, and with how many keys."""
     held = sets.where("doc_id is not null").select("one", F.explode("keys").alias("key"))
     # the sets that hold a key are joined to the smallest of them
     hubs = held.groupBy("key").agg(F.min("one").alias("hub"), F.max("one").alias("far")).where("hub < far").drop("far")
-    met = written(held.join(hubs, "key").groupBy("one", "hub").agg(F.count("*").alias("weight")))
+    return held.join(hubs, "key").groupBy("one", "hub").agg(F.count("*").alias("weight"))
+
+
+def tiles_of(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, text_hash, one, family, tiles, tile, hub) of the classes that share a key with another."""
     family = components(met.select(F.col("one").alias("a"), F.col("hub").alias("b")))
     weight = met.groupBy("one").agg(F.sum("weight").alias("weight"))
     members = classes.join(family.select(F.col("node").alias("one"), F.col("component").alias("family")), "one").join(weight, "one", "left")
@@ -281,12 +285,15 @@ def tiles_of(sets: DataFrame, classes: DataFrame) -> DataFrame:
 def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row: see the module's text."""
     d = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    sets = written(described(d, words, percent))
+    with_keys = written(described(d, words, percent))
+    sets = written(with_keys.drop("keys"))
+    met = written(meetings(with_keys))
+    discard(with_keys)  # by far the largest table, read for the last time
     own = sets.where("n_shingles > 0 and doc_id is not null")
     classes = own.groupBy("one", "two").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("n_shingles").alias("n"))
     classes = written(classes.select("one", "two", "n", F.col("at.doc_id").alias("node"), F.col("at.text_hash").alias("text_hash")))
 
-    members = tiles_of(sets, classes)
+    members = tiles_of(met, classes)
     texts = d.withColumnRenamed("doc_id", "node").join(members.hint("shuffle_hash"), ["node", "text_hash"])
     texts = written(texts.select("family", "tiles", "tile", "one", "node", "hub", "text"))
     alone = texts.select("family", "tile", "one", "node", F.lit(0).alias("turn"), F.col("node").alias("label"), "text")
