@@ -289,9 +289,19 @@ UNION ALL SELECT 'events', max(ts) FROM events
 UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem"""
 
 ORACLE_SQL["hwm_upsert"] = """
-SELECT 'orders' AS table_name, max(o_orderdate) AS max_updated FROM orders
-UNION ALL SELECT 'events', max(ts) FROM events
-UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-01-01 00:00:00'"""
+WITH prior AS (
+  SELECT 'orders' AS table_name, max(o_orderdate) AS max_updated FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'
+  UNION ALL SELECT 'events', max(ts) FROM events
+  UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-01-01 00:00:00'
+  UNION ALL SELECT 'events_' || event_type, max(ts) FROM events GROUP BY event_type),
+new AS (
+  SELECT 'orders' AS table_name, max(o_orderdate) AS max_updated FROM orders
+    WHERE o_orderdate > (SELECT max_updated FROM prior WHERE table_name = 'orders')
+  UNION ALL SELECT 'events', max(ts) FROM events WHERE ts > (SELECT max_updated FROM prior WHERE table_name = 'events')
+  UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem
+    WHERE l_shipdate > (SELECT max_updated FROM prior WHERE table_name = 'lineitem'))
+SELECT coalesce(prior.table_name, new.table_name) AS table_name, coalesce(new.max_updated, prior.max_updated) AS max_updated
+FROM prior FULL JOIN new ON prior.table_name = new.table_name"""
 
 ORACLE_SQL["full_transform_all"] = _with(
     _dims("corrected", 1)

@@ -142,19 +142,18 @@ def high_water_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hwm_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Control table after a second run: one mark advances, one delta is empty, one table isn't in the run."""
-    orders, events, lineitem = (_t(spark, sf_dir, n) for n in ("orders", "events", "lineitem"))
+    """Control table after a second run over three whole tables: two marks advance, one delta is empty, and
+    the stored marks of the events' types, which aren't in the run, stay."""
+    columns = {"orders": "o_orderdate", "events": "ts", "lineitem": "l_shipdate"}
+    tables = {t: _t(spark, sf_dir, t) for t in columns}
     cutoff = F.lit(ORDERS_PRIOR_CUTOFF).cast("timestamp_ntz")
-    prior = materialize(
-        high_water_mark(orders.where(F.col("o_orderdate") < cutoff), "orders", "o_orderdate")
-        .unionByName(high_water_mark(events, "events", "ts"))
-        .unionByName(high_water_mark(lineitem.where(F.col("l_shipdate") < cutoff), "lineitem", "l_shipdate"))
-    )
-    delta = LoadPlan("delta")
-    new = high_water_mark(extract(orders, delta, watermark_value(prior, "orders"), column="o_orderdate"), "orders", "o_orderdate").unionByName(
-        high_water_mark(extract(events, delta, watermark_value(prior, "events"), column="ts"), "events", "ts")
-    )
-    return upsert_watermarks(prior, new)
+    first = tables | {t: tables[t].where(F.col(columns[t]) < cutoff) for t in ("orders", "lineitem")}
+    marks = [high_water_mark(first[t], t, c) for t, c in columns.items()]
+    by_type = tables["events"].groupBy("event_type").agg(F.max("ts").alias("max_updated"))
+    marks.append(by_type.select(F.concat(F.lit("events_"), "event_type").alias("table_name"), "max_updated"))
+    prior = materialize(reduce(DataFrame.unionByName, marks))
+    above = {t: extract(tables[t], LoadPlan("delta"), watermark_value(prior, t), column=c) for t, c in columns.items()}
+    return upsert_watermarks(prior, reduce(DataFrame.unionByName, [high_water_mark(above[t], t, c) for t, c in columns.items()]))
 
 
 def hwm_upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
