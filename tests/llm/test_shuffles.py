@@ -1,10 +1,12 @@
 """What steps shuffle, read from their plans: columns and how often."""
 
+import random
 import re
 
+import numpy as np
 from tests_llm_helpers import docs_of
 
-from tidewater.llm import op6_lines
+from tidewater.llm import op4_jaccard, op6_lines
 
 
 def exchanges(df):
@@ -13,6 +15,27 @@ def exchanges(df):
     return re.findall(r"(?<!Reused)Exchange (?:hash|range)partitioning\(([^)]*)\)", plan)
 
 
+def test_keys_are_shuffled_once_and_each_meets_its_smallest_set(spark):
+    r = random.Random(3)
+    rows = [(i if i % 17 else None, i % 40 + 1, sorted({r.randrange(60) for _ in range(r.randrange(6))})) for i in range(400)]
+    rows += [(1000 + i, 100 + i, [-5]) for i in range(3000)] + [(5000 + i, 7000, [10**6, -9]) for i in range(50)]
+    sets = spark.createDataFrame(rows, "doc_id long, one long, keys array<long>")
+    assert sum("key" in x for x in exchanges(op4_jaccard.meetings(sets))) == 1
+    held = {}
+    for i, one, keys in rows:
+        for k in keys if i is not None else []:
+            held.setdefault(k, set()).add(one)
+    want = {}
+    for some in held.values():
+        for one in some if len(some) > 1 else []:
+            want[one, min(some)] = want.get((one, min(some)), 0) + 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert {(x.one, x.hub): x.weight for x in op4_jaccard.meetings(sets).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_bands_are_shuffled_without_repeated_columns(spark):
     lines = op6_lines.lines_of(docs_of(spark, [(1, "a line that is long enough to take part", "s")]))
     pairs = op6_lines.pairs_of(op6_lines.buckets_of(op6_lines.classes_of(lines)))
@@ -24,3 +47,39 @@ def test_bands_are_shuffled_without_repeated_columns(spark):
 def test_pairs_text_is_fetched_once_the_bands_are_gone(spark):
     lines = op6_lines.lines_of(docs_of(spark, [(1, "a line that is long enough to take part", "s")]))
     assert not [x for x in exchanges(op6_lines.links_of(lines)) if x.startswith("bucket")]
+
+
+def test_near_sets_share_a_key_and_small_unlike_ones_do_not():
+    r = np.random.default_rng(4)
+    sets = [r.integers(0, 2**63, n).astype(np.uint64) for n in r.integers(2, 60, 4000)]
+    sets += [np.concatenate([s[len(s) // 10 :], r.integers(0, 2**63, len(s) // 10).astype(np.uint64)]) for s in sets]
+    sets += [s[: -(-len(s) * 4 // 5)] for s in sets[:4000]]
+    sizes = np.array([len(s) for s in sets])
+    keys, n = op4_jaccard.keys_of(np.concatenate([np.sort(s) for s in sets]), sizes, 80)
+    of = [set(x.tolist()) for x in np.split(keys, np.cumsum(n)[:-1])]
+    near = 0
+    for i in range(4000):
+        for j in (i + 4000, i + 8000):
+            a, b = set(sets[i].tolist()), set(sets[j].tolist())
+            if len(a & b) * 10 >= 8 * len(a | b):
+                near += 1
+                assert of[i] & of[j]
+    assert near > 7000
+    held = {}
+    for i, some in enumerate(of):
+        for k in some:
+            held.setdefault(k, set()).add(i % 4000)
+    assert sum(len(x) > 1 for x in held.values()) < 40
+    assert max(len(x) for x in held.values()) < 10
+
+
+def test_larger_near_sets_share_a_key():
+    """At the threshold, where a tenth of the groups is left out as the lightest."""
+    r = np.random.default_rng(5)
+    new = lambda n: r.integers(0, 2**63, n).astype(np.uint64)
+    sets = [new(n) for n in r.integers(60, 900, 600)]
+    sets += [np.concatenate([s[len(s) // 9 :], new(len(s) // 9)]) for s in sets]  # 8/9 in common of either: 0.8
+    keys, n = op4_jaccard.keys_of(np.concatenate([np.sort(s) for s in sets]), np.array([len(s) for s in sets]), 80)
+    of = [set(x.tolist()) for x in np.split(keys, np.cumsum(n)[:-1])]
+    near = [i for i in range(600) if len(np.intersect1d(sets[i], sets[i + 600])) * 9 >= 8 * len(sets[i])]
+    assert len(near) > 500 and all(of[i] & of[i + 600] for i in near)

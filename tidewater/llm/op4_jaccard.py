@@ -50,6 +50,8 @@ HUBS = 32
 #: Groups of the count vectors; points of a node.
 GROUPS = 64
 FAN = 16
+#: Times that a set with too many empty groups is dealt anew; by chance that is one in ten to fifty small sets each time.
+TURNS = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -95,8 +97,11 @@ def keys_of(h: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray,
     """(contents of the sets' groups as hashes, their number for each set).
 
     A set belongs to the band of its size, and to each larger band that holds partners for it.  A band
-    up to n has d + 1 groups and a tenth more, where d is what two sets of it can differ in.  A set
-    with more empty groups than that tenth gives these as well: with fewer, d + 1 are not empty.
+    up to n has d + 1 groups and a tenth more, where d is what two sets of it can differ in.  Two near sets
+    agree in more groups than that tenth, so each leaves out as many of its lightest ones, by size and content,
+    which say least: the heaviest that they agree in is left out by neither.  If that is empty, both have more
+    empty groups than the tenth; sets that do are dealt into groups again, by another hash, up to ``TURNS``
+    times, so near ones that haven't met are both among them.  After the last time empty groups are given too.
     """
     up = levels(int(sizes.max(initial=1)) * 100 // percent + 2)
     home = np.searchsorted(up, sizes)
@@ -110,30 +115,37 @@ def keys_of(h: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray,
         if not ok.any():
             break
         own = np.flatnonzero(ok)
-        n = sizes[own]
-        d = 2 * up[level[own]] * (100 - percent) // (100 + percent)
-        spare = (d + 1) // 10
-        groups = d + 1 + spare
-        first = np.cumsum(groups) - groups
-        total = np.zeros(groups.sum(), dtype=np.uint64)
-        filled = np.zeros(len(total), dtype=bool)
-        ends = np.cumsum(n)
-        for a in range(0, int(ends[-1]), STEP):
-            z = min(a + STEP, int(ends[-1]))
-            low, high = np.searchsorted(ends, [a, z - 1], side="right")
-            inside = np.minimum(ends[low : high + 1], z) - np.maximum(ends[low : high + 1] - n[low : high + 1], a)
-            of = np.repeat(np.arange(low, high + 1), inside)
-            x = h[np.arange(a, z) + (starts[own] - ends + n)[of]]
-            place = first[of] + ((x >> np.uint64(11)) % groups[of].astype(np.uint64)).astype(np.int64)
-            np.add.at(total, place, mixed(x ^ _ODD))
-            filled[place] = True
-        of = np.repeat(np.arange(len(own)), groups)
-        empty = groups - np.bincount(of, weights=filled, minlength=len(own)).astype(np.int64)
-        keep = filled | (empty > spare)[of]
-        number = (np.arange(len(total)) - np.repeat(first, groups)).astype(np.uint64)
-        name = mixed(number * _ODD + np.repeat(level[own], groups).astype(np.uint64))
-        key.append(mixed(total + name)[keep])
-        doc.append(own[of[keep]])
+        for turn in range(TURNS):
+            n = sizes[own]
+            d = 2 * up[level[own]] * (100 - percent) // (100 + percent)
+            spare = (d + 1) // 10
+            groups = d + 1 + spare
+            first = np.cumsum(groups) - groups
+            total = np.zeros(groups.sum(), dtype=np.uint64)
+            held = np.zeros(len(total), dtype=np.int64)
+            ends = np.cumsum(n)
+            for a in range(0, int(ends[-1]), STEP):
+                z = min(a + STEP, int(ends[-1]))
+                low, high = np.searchsorted(ends, [a, z - 1], side="right")
+                inside = np.minimum(ends[low : high + 1], z) - np.maximum(ends[low : high + 1] - n[low : high + 1], a)
+                of = np.repeat(np.arange(low, high + 1), inside)
+                x = h[np.arange(a, z) + (starts[own] - ends + n)[of]]
+                dealt = mixed(x ^ np.uint64(turn)) if turn else x
+                place = first[of] + ((dealt >> np.uint64(11)) % groups[of].astype(np.uint64)).astype(np.int64)
+                np.add.at(total, place, mixed(x ^ _ODD))
+                held += np.bincount(place, minlength=len(held))
+            of = np.repeat(np.arange(len(own)), groups)
+            again = np.bincount(of, weights=held == 0, minlength=len(own)) > spare
+            light = np.empty(len(total), dtype=bool)
+            light[np.lexsort((total, held, of))] = np.arange(len(total)) - np.repeat(first, groups) < spare[of]
+            keep = ~light & ((held > 0) | (turn == TURNS - 1))
+            number = (np.arange(len(total)) - np.repeat(first, groups)).astype(np.uint64)
+            name = mixed(number * _ODD + np.repeat(level[own], groups).astype(np.uint64) + np.uint64(turn << 32))
+            key.append(mixed(total + name)[keep])
+            doc.append(own[of[keep]])
+            own = own[again]
+            if not len(own):
+                break
     if not doc:
         return np.empty(0, dtype=np.uint64), np.zeros(len(sizes), dtype=np.int64)
     doc, key = np.concatenate(doc), np.concatenate(key)
@@ -261,11 +273,37 @@ def linked(tiled: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def meetings(sets: DataFrame) -> DataFrame:
-    """(one, hub, weight): the sets that share keys with a smaller one, and with how many keys."""
-    held = sets.where("doc_id is not null").select("one", F.explode("keys").alias("key"))
-    # the sets that hold a key are joined to the smallest of them
-    hubs = held.groupBy("key").agg(F.min("one").alias("hub"), F.max("one").alias("far")).where("hub < far").drop("far")
-    return held.join(hubs, "key").groupBy("one", "hub").agg(F.count("*").alias("weight"))
+    """(one, hub, weight): the sets that share keys with a smaller one, and with how many keys.
+
+    The keys are shuffled once.  Sorted, a key's first set is the smallest of those that hold it, and the others
+    are joined to it as they pass: nothing is held, however many they are; a set's copies count once."""
+    held = sets.where("doc_id is not null").select(F.explode("keys").alias("key"), "one")
+    dealt = held.repartition(parts_for(sets.sparkSession, 0, 1), "key").sortWithinPartitions("key", "one")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # key, set and hub of the row before, and whether its key has had one set so far
+        for b in batches:
+            if not b.num_rows:
+                continue
+            k, one = b.column("key").to_numpy(), b.column("one").to_numpy()
+            same, again = np.zeros((2, len(k)), dtype=bool)  # as the row before: the key, the key and the set
+            same[1:] = k[1:] == k[:-1]
+            again[1:] = same[1:] & (one[1:] == one[:-1])
+            if last is not None:
+                same[0] = k[0] == last[0]
+                again[0] = same[0] and one[0] == last[1]
+            begun = np.maximum.accumulate(np.where(same, -1, np.arange(len(k))))
+            hub = one[np.maximum(begun, 0)]
+            if last is not None:
+                hub[begun < 0] = last[2]
+            met = one != hub
+            before = np.concatenate([[last is not None and not last[3]], met[:-1]])
+            first = met & ~before  # with a key's second set, the hub is known to share it
+            other = met & ~again
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([one[other], hub[first]])), pa.array(np.concatenate([hub[other], hub[first]]))], names=["one", "hub"])
+            last = k[-1], one[-1], hub[-1], not met[-1]
+
+    return dealt.mapInArrow(run, "one long, hub long").groupBy("one", "hub").agg(F.count("*").alias("weight"))
 
 
 def tiles_of(met: DataFrame, classes: DataFrame) -> DataFrame:
@@ -296,6 +334,7 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     members = tiles_of(met, classes)
     texts = d.withColumnRenamed("doc_id", "node").join(members.hint("shuffle_hash"), ["node", "text_hash"])
     texts = written(texts.select("family", "tiles", "tile", "one", "node", "hub", "text"))
+    discard(met)
     alone = texts.select("family", "tile", "one", "node", F.lit(0).alias("turn"), F.col("node").alias("label"), "text")
     everywhere = texts.where("hub").select("family", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "one", "node", F.lit(1).alias("turn"), F.col("node").alias("label"), "text")
     links = written(linked(alone.unionByName(everywhere), words, percent))
