@@ -4,9 +4,10 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 from tests_llm_helpers import docs_of
 
-from tidewater.llm import op4_jaccard, op6_lines
+from tidewater.llm import common, op4_jaccard, op6_lines
 
 
 def exchanges(df):
@@ -83,3 +84,37 @@ def test_larger_near_sets_share_a_key():
     of = [set(x.tolist()) for x in np.split(keys, np.cumsum(n)[:-1])]
     near = [i for i in range(600) if len(np.intersect1d(sets[i], sets[i + 600])) * 9 >= 8 * len(sets[i])]
     assert len(near) > 500 and all(of[i] & of[i + 600] for i in near)
+
+
+def test_texts_that_share_a_passage_do_not_meet_and_near_ones_do(spark):
+    r = random.Random(8)
+    new = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    passage = new(100)
+    texts = [new(700) + passage + new(700) for _ in range(200)]
+    texts += [[*t[:1380], *new(120)] for t in texts[:20]]  # of 1,496 runs 1,376 in common: 0.85
+    docs = docs_of(spark, [(i, " ".join(t), "s") for i, t in enumerate(texts)])
+    d = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    with_keys = common.written(op4_jaccard.described(d, 5, 80))
+    some = common.written(op4_jaccard.telling(with_keys))
+    assert sum("key" in x for x in exchanges(op4_jaccard.telling(with_keys))) == 1
+    near = {*range(20), *range(200, 220)}
+    assert {x.doc_id for x in some.collect()} == near
+    number = {x.one: x.doc_id for x in with_keys.collect()}
+    met = {frozenset((number[x.one], number[x.hub])) for x in op4_jaccard.meetings(some).collect() if x.one != x.hub}
+    assert met == {frozenset((i, 200 + i)) for i in range(20)}
+
+
+def test_near_sets_share_as_many_keys_as_they_need():
+    """Of any size, at the threshold; and a rarest shared key is among what both keep, whatever the order."""
+    r = np.random.default_rng(6)
+    new = lambda n: r.integers(0, 2**63, n).astype(np.uint64)
+    sets = [new(n) for n in r.integers(5, 1500, 800)]
+    sets += [np.concatenate([s[len(s) // 9 :], new(len(s) // 9)]) for s in sets]  # 8/9 in common of either: 0.8
+    sets += [s[: -(-len(s) * 4 // 5)] for s in sets[:800]]  # four fifths of it: 0.8
+    keys, n, need = op4_jaccard.keys_and_needs(np.concatenate([np.sort(s) for s in sets]), np.array([len(s) for s in sets]), 80)
+    of = [set(x.tolist()) for x in np.split(keys, np.cumsum(n)[:-1])]
+    near = [(i, j) for i in range(800) for j in (i + 800, i + 1600) if len(np.intersect1d(sets[i], sets[j])) * 10 >= 8 * len(np.union1d(sets[i], sets[j]))]
+    assert len(near) > 1400
+    for i, j in near:
+        assert len(of[i] & of[j]) >= max(need[i], need[j]) >= 1
+    assert np.median(need) > 10

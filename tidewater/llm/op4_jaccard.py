@@ -10,10 +10,12 @@ on the sets themselves.
 Tiles.  Counts of unlike texts of one size are much alike, so an R-tree over a whole corpus prunes next to
 nothing near its root (see the README); its root is therefore a finer kind of groups.  Two sets of sizes a
 and b that meet the threshold t differ in at most (a + b)(1 - t)/(1 + t) elements.  Hashed into more
-groups than that, they have some non-empty group in common, element by element.  The contents of the
-groups (``keys``), each with the group's number and the sizes it serves, are compared by equality: sets
-that share one are joined into a family, and no link leads out of a family.  That loses nothing, needs no
-sample, and unlike texts never meet.
+groups than that, they have some non-empty group in common, element by element, and with still more groups
+several.  The contents of the groups (``keys``), each with the group's number and the sizes it
+serves, are compared by equality.  Since a set must share as many keys as needed with each set near to it, it
+leaves out the most frequent ones, one fewer than that: the rarest key that two near sets share is left out by
+neither (``telling``).  Sets that share one of what is left are joined into a family, and no link leads out of a
+family.  That loses nothing, needs no sample, and texts that share a passage only seldom meet.
 
 A family is one tile or, beyond ``TILE_SETS`` sets or ``TILE_SIZE`` elements, several.  The sets that share
 most keys within the family (``HUBS``) are copied to each of its tiles, and join most of what belongs
@@ -94,19 +96,27 @@ def levels(most: int) -> np.ndarray:
 
 
 def keys_of(h: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(contents of the sets' groups as hashes, their number for each set).
+    """(contents of the sets' groups as hashes, their number for each set): see ``keys_and_needs``."""
+    return keys_and_needs(h, sizes, percent)[:2]
+
+
+def keys_and_needs(h: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(contents of the sets' groups as hashes, their number for each set, how many of them, at least, each set
+    shares with any set that is near to it).
 
     A set belongs to the band of its size, and to each larger band that holds partners for it.  A band
-    up to n has d + 1 groups and a tenth more, where d is what two sets of it can differ in.  Two near sets
-    agree in more groups than that tenth, so each leaves out as many of its lightest ones, by size and content,
-    which say least: the heaviest that they agree in is left out by neither.  If that is empty, both have more
-    empty groups than the tenth; sets that do are dealt into groups again, by another hash, up to ``TURNS``
-    times, so near ones that haven't met are both among them.  After the last time empty groups are given too.
+    up to n has d + 1 groups and three tenths more, where d is what two sets of it can differ in.  Two near sets
+    agree in more groups than those spare ones, so each leaves out half as many of its lightest groups, by size and
+    content, which say least: what either leaves out of those that they agree in are the lightest of them, that half
+    or the empty ones at most, and the rest they share.  If that may be none, both have more empty groups than
+    spare ones; sets that do are dealt into groups again, by another hash, up to ``TURNS`` times, so near ones that
+    haven't met are both among them.  After the last time empty groups are given too.
     """
     up = levels(int(sizes.max(initial=1)) * 100 // percent + 2)
     home = np.searchsorted(up, sizes)
     starts = np.cumsum(sizes) - sizes
     doc, key = [], []
+    need = np.full(len(sizes), np.iinfo(np.int64).max)
     for step in range(len(up)):
         level = home + step
         ok = (sizes > 0) & (level < len(up))
@@ -118,7 +128,8 @@ def keys_of(h: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray,
         for turn in range(TURNS):
             n = sizes[own]
             d = 2 * up[level[own]] * (100 - percent) // (100 + percent)
-            spare = (d + 1) // 10
+            spare = 3 * (d + 1) // 10
+            left = (spare + 1) // 2
             groups = d + 1 + spare
             first = np.cumsum(groups) - groups
             total = np.zeros(groups.sum(), dtype=np.uint64)
@@ -135,9 +146,12 @@ def keys_of(h: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray,
                 np.add.at(total, place, mixed(x ^ _ODD))
                 held += np.bincount(place, minlength=len(held))
             of = np.repeat(np.arange(len(own)), groups)
-            again = np.bincount(of, weights=held == 0, minlength=len(own)) > spare
+            empty = np.bincount(of[held == 0], minlength=len(own))
+            if not turn:
+                need[own] = np.minimum(need[own], np.maximum(1 + spare - np.maximum(left, empty), 1))
+            again = empty > spare
             light = np.empty(len(total), dtype=bool)
-            light[np.lexsort((total, held, of))] = np.arange(len(total)) - np.repeat(first, groups) < spare[of]
+            light[np.lexsort((total, held, of))] = np.arange(len(total)) - np.repeat(first, groups) < left[of]
             keep = ~light & ((held > 0) | (turn == TURNS - 1))
             number = (np.arange(len(total)) - np.repeat(first, groups)).astype(np.uint64)
             name = mixed(number * _ODD + np.repeat(level[own], groups).astype(np.uint64) + np.uint64(turn << 32))
@@ -147,9 +161,9 @@ def keys_of(h: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray,
             if not len(own):
                 break
     if not doc:
-        return np.empty(0, dtype=np.uint64), np.zeros(len(sizes), dtype=np.int64)
+        return np.empty(0, dtype=np.uint64), np.zeros(len(sizes), dtype=np.int64), need
     doc, key = np.concatenate(doc), np.concatenate(key)
-    return key[np.argsort(doc, kind="stable")], np.bincount(doc, minlength=len(sizes))
+    return key[np.argsort(doc, kind="stable")], np.bincount(doc, minlength=len(sizes)), need
 
 
 def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
@@ -158,8 +172,8 @@ def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
 
 
 def described(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, one, two, keys) of (doc_id, text, text_hash): the set's size, its
-    128-bit hash and its groups' contents."""
+    """(doc_id, text_hash, n_shingles, one, two, need, keys) of (doc_id, text, text_hash): the set's size, its
+    128-bit hash, its groups' contents and how many of those a near set shares."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -170,10 +184,10 @@ def described(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
                 one, two = np.zeros(len(sizes), dtype=np.uint64), np.zeros(len(sizes), dtype=np.uint64)
                 if len(some):
                     one[some], two[some] = np.add.reduceat(mixed(h), at), np.add.reduceat(mixed(h ^ _ODD), at)
-                keys, n = keys_of(h, sizes, percent)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(sizes), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists(keys, n)], names=["doc_id", "text_hash", "n_shingles", "one", "two", "keys"])
+                keys, n, need = keys_and_needs(h, sizes, percent)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(sizes), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(need), lists(keys, n)], names=["doc_id", "text_hash", "n_shingles", "one", "two", "need", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, one long, two long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, one long, two long, need long, keys array<long>")
 
 
 class Tree:
@@ -272,6 +286,21 @@ def linked(tiled: DataFrame, words: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def telling(sets: DataFrame) -> DataFrame:
+    """(doc_id, one, keys) of the sets that share as many keys as they need: the rarest of those that they share,
+    so many that one of what a near set shares is among them.
+
+    Keys are ordered by how many rows hold them (any order that all sets have in common would do), in windows
+    over numbers, which spill."""
+    held = sets.where("doc_id is not null").select(F.explode("keys").alias("key"), "one")
+    by_key = W.partitionBy("key")
+    met = held.select("key", "one", F.count("*").over(by_key).alias("held"), F.min("one").over(by_key).alias("low"), F.max("one").over(by_key).alias("high"))
+    shared = met.where("low < high").groupBy("one").agg(F.array_sort(F.collect_set(F.struct("held", "key"))).alias("shared"))
+    need = sets.where("doc_id is not null").groupBy("one").agg(F.min("doc_id").alias("doc_id"), F.min("need").alias("need"))
+    enough = shared.join(need, "one").where(F.size("shared") >= F.col("need"))
+    return enough.select("doc_id", "one", F.slice("shared", F.lit(1), (F.size("shared") - F.col("need") + 1).cast("int"))["key"].alias("keys"))
+
+
 def meetings(sets: DataFrame) -> DataFrame:
     """(one, hub, weight): the sets that share keys with a smaller one, and with how many keys.
 
@@ -324,9 +353,11 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     """(doc_id, n_shingles, component_id) for each row: see the module's text."""
     d = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     with_keys = written(described(d, words, percent))
-    sets = written(with_keys.drop("keys"))
-    met = written(meetings(with_keys))
+    sets = written(with_keys.drop("keys", "need"))
+    some = written(telling(with_keys))
     discard(with_keys)  # by far the largest table, read for the last time
+    met = written(meetings(some))
+    discard(some)
     own = sets.where("n_shingles > 0 and doc_id is not null")
     classes = own.groupBy("one", "two").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("n_shingles").alias("n"))
     classes = written(classes.select("one", "two", "n", F.col("at.doc_id").alias("node"), F.col("at.text_hash").alias("text_hash")))
