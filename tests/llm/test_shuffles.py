@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -118,3 +119,26 @@ def test_near_sets_share_as_many_keys_as_they_need():
     for i, j in near:
         assert len(of[i] & of[j]) >= max(need[i], need[j]) >= 1
     assert np.median(need) > 10
+
+
+def test_shuffle_files_of_the_step_before_are_let_go(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(" ")))
+
+    def step():
+        d = spark.range(100_000).repartition(4, "id").groupBy((F.col("id") % 1000).alias("k")).count()
+        return common.written(d).join(spark.range(5), F.col("k") == F.col("id"))
+
+    for _ in range(3):
+        before = files()
+        common.once(("freed",), lambda: [0.0])[0] = time.monotonic()
+        after = step()
+        new = files() - before
+        assert new and after.columns
+        common.once(("freed",), lambda: [0.0])[0] = 0.0
+        common.free_shuffles(spark)
+        for _ in range(20):
+            if not files() & new:
+                break
+            time.sleep(0.1)
+        assert not files() & new
