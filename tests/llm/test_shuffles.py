@@ -142,3 +142,37 @@ def test_shuffle_files_of_the_step_before_are_let_go(spark):
                 break
             time.sleep(0.1)
         assert not files() & new
+
+
+def test_a_family_of_near_lines_is_not_paired_by_its_square(spark):
+    r = random.Random(5)
+    line = "".join(r.choice("abcdefgh ") for _ in range(400))
+    rows = [(i, line[: 10 * i + 5] + "#" + line[10 * i + 6 :], "s") for i in range(30)]
+    pairs = op6_lines.pairs_of(op6_lines.buckets_of(op6_lines.classes_of(op6_lines.lines_of(docs_of(spark, rows)))))
+    assert pairs.distinct().count() < 200  # of 435
+    gone = {x.doc_id for x in op6_lines.judged(docs_of(spark, rows)).collect() if x.n_dropped}
+    assert gone == set(range(1, 30))
+
+
+def test_only_classes_that_agree_with_another_go_on(spark):
+    s = 0o123456701234567012345
+    rows = [(1, 1, 1, s), (1, 2, 2, s ^ 7), (1, 3, 3, s ^ 0o777777777777), (2, 4, 4, s), (3, 5, 5, s), (3, 6, 6, ~s & (1 << 63) - 1)]
+    many = [(4, 100 + i, 100 + i, s if i % 2 else ~s & (1 << 63) - 1) for i in range(op6_lines.LARGE + 1)]
+    met = op6_lines.met_of(spark.createDataFrame(rows + many, "bucket long, one long, two long, sketch long")).collect()
+    assert {x.one for x in met} == {1, 2} | {x[1] for x in many}
+    assert {x.held for x in met if x.bucket == 1} == {3}
+
+
+def test_marks_leave_out_no_near_sets(spark):
+    r = random.Random(6)
+    sets = {}
+    for i in range(0, 120, 2):
+        own = [r.getrandbits(64) - 2**63 for _ in range(r.randrange(5, 600))]
+        sets[i], sets[i + 1] = own, own[: len(own) - len(own) // (5 + i)]
+    sets[200], sets[201] = ([r.getrandbits(64) - 2**63 for _ in range(300)] for _ in range(2))
+    each = spark.createDataFrame([(i, len(x), h) for i, x in sets.items() for h in x], "number long, size int, h long")
+    marks = op6_lines.marks_of(each)
+    of = lambda name: marks.select(F.col("number").alias(name), F.col("size").alias(f"{name}_size"), F.col("marks").alias(f"{name}_marks"))
+    pairs = of("a").join(of("b"), F.col("b") == F.col("a") + 1).where(op6_lines.may_be_near("a", "b", 0.8))
+    found = {x.a for x in pairs.collect()}
+    assert {i for i in range(0, 120, 2) if len(sets[i + 1]) >= 0.8 * len(sets[i])} <= found and 200 not in found
