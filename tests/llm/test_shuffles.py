@@ -176,3 +176,17 @@ def test_marks_leave_out_no_near_sets(spark):
     pairs = of("a").join(of("b"), F.col("b") == F.col("a") + 1).where(op6_lines.may_be_near("a", "b", 0.8))
     found = {x.a for x in pairs.collect()}
     assert {i for i in range(0, 120, 2) if len(sets[i + 1]) >= 0.8 * len(sets[i])} <= found and 200 not in found
+
+
+def test_crowded_classes_are_linked_whole_by_their_marks(spark):
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
+    shared = " ".join(words[:12])
+    lines = [f"{shared} {' '.join(r.choice(words) for _ in range(5))} {i}" for i in range(60)]
+    lines += [f"{x[:-4]}{r.randrange(1000, 9999)}" for x in lines]
+    text = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "number long, line string")
+    crowded = spark.createDataFrame([(i, i // 2 * 2) for i in range(len(lines))], "number long, component long")
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+    want = {(i, j) for j in range(len(lines)) for i in range(j) if i // 2 != j // 2 and 18 * len(sets[i] & sets[j]) >= 8 * (len(sets[i]) + len(sets[j]))}
+    found = {(min(int(x.a), int(x.b)), max(int(x.a), int(x.b))) for x in op6_lines.crowded_links(text, crowded).collect()}
+    assert found == want and 40 < len(want) < 2000
