@@ -207,3 +207,67 @@ def test_texts_are_not_read_again_for_the_lines_that_go(spark, tmp_path):
     docs_of(spark, [(1, "a line that is long enough to take part", "s"), (2, "a line that is long enough to take part", "s")]).write.parquet(str(tmp_path / "d"))
     copies = op6_lines.copies(spark.read.parquet(str(tmp_path / "d")))
     assert [(x.doc_id, x.place) for x in copies.collect()] == [(2, 0)] and not [f for f in copies.inputFiles() if str(tmp_path / "d") in f]
+
+
+def crowded_rows(spark, r):
+    """Classes of two buckets: lines of few syllables, near copies of some, and the pairs that are similar."""
+    syllables = [r.choice("bcdfgklmnprstv") + r.choice("aeiou") + r.choice("nrst ") for _ in range(14)]
+    lines = ["".join(r.choice(syllables) for _ in range(r.randrange(30, 90))) for _ in range(90)]
+    lines += [x[:at] + "#" + x[at + 1 :] for x in lines[:40] for at in (r.randrange(len(x) // 4, len(x)),)]
+    text = spark.createDataFrame(list(enumerate(lines)), "number long, line string")
+    marks = common.written(op6_lines.marks_of(op6_lines.hashes_of(text, "number").withColumnRenamed("n", "size")))
+    met = spark.createDataFrame([(i % 2, i, 0 if i < 20 else i, 0) for i in range(len(lines))], "bucket long, number long, component long, sketch long")
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+    of = lambda some: {(j, i) for j in range(len(lines)) for i in range(j) if i % 2 == j % 2 and j >= 20 and some(sets[i], sets[j])}
+    near = of(lambda a, b: 18 * len(a & b) >= 8 * (len(a) + len(b)))
+    return text, common.written(op6_lines.crowded_of(met, marks)), near
+
+
+def test_a_crowded_bucket_is_compared_whole_in_blocks(spark):
+    text, crowded, near = crowded_rows(spark, random.Random(12))
+    assert len(near) >= 40
+    for size in (200, 7, 1):
+        pairs = op6_lines.block_pairs(crowded, F.ceil(F.col("held") / size), True).collect()
+        found = {(x.a, x.b) for x in pairs}
+        assert near <= found and len(found) == len(pairs) < 2000  # of 130 * 64 / 2
+        assert {x.bucket for x in pairs} == {0, 1}
+    assert {(x.a, x.b) for x in op6_lines.compared(spark.createDataFrame(pairs).drop("bucket"), text).collect()} == near
+
+
+def test_sets_of_a_dense_bucket_are_compared_whole(spark, monkeypatch):
+    text, crowded, near = crowded_rows(spark, random.Random(13))
+    for room in (op6_lines.ROOM, 500):
+        monkeypatch.setattr(op6_lines, "ROOM", room)
+        links = op6_lines.set_links(crowded, text).collect()
+        assert {(x.a, x.b) for x in links} == near and len(links) == len(near)
+    assert not op6_lines.dense_of(crowded).collect()
+    monkeypatch.setattr(op6_lines, "MANY", 0)
+    assert {x.bucket for x in op6_lines.dense_of(crowded).collect()} == {0, 1}
+    one = crowded.where("bucket = 0").select("bucket", "number", F.lit(1).alias("component"), "sketch")
+    assert not op6_lines.crowded_of(one, crowded.select("number", "size", "marks")).collect()
+
+
+def test_classes_crowded_by_chance_are_not_compared_by_their_shingles(spark, monkeypatch):
+    """Lines of one language with few syllables share shingles by the thousand, and their lists grow by the square."""
+    r = random.Random(14)
+    syllables = [r.choice("bcdfgklmnprstv") + r.choice("aeiou") for _ in range(9)]
+    lines = ["".join(r.choice(syllables) for _ in range(r.randrange(100, 140))) for _ in range(400)]
+    copies = {i: lines[i][: 3 * i % 80 + 20] + "#" + lines[i][3 * i % 80 + 21 :] for i in range(0, 400, 10)}
+    rows = [(i, x, "s") for i, x in enumerate(lines)] + [(1000 + i, x, "s") for i, x in copies.items()]
+    near = {1000 + i for i, x in copies.items() if op6_lines_near(lines[i], x)}
+    for name in ("LARGE", "MANY"):
+        monkeypatch.setattr(op6_lines, name, 4, raising=False)
+
+    def never(*_):
+        raise AssertionError("lists of shingles")
+
+    monkeypatch.setattr(op6_lines, "crowded_links", never)
+    met = op6_lines.meetings(op6_lines.lines_of(docs_of(spark, rows)))[2]
+    assert met.where("held > 4").select("number").distinct().count() > 100
+    gone = {x.doc_id for x in op6_lines.judged(docs_of(spark, rows)).collect() if x.n_dropped}
+    assert gone == near and len(near) == 40
+
+
+def op6_lines_near(a, b):
+    a, b = ({x[i : i + 5] for i in range(len(x) - 4)} for x in (a, b))
+    return 18 * len(a & b) >= 8 * (len(a) + len(b))
